@@ -62,3 +62,12 @@ def test_differencing_balances():
     sums = [sum(sizes[i] for i in w) for w in windows]
     assert max(sums) - min(sums) <= 12
     assert packing.partition([5, 5, 5], 7) and len(packing.partition([5, 5, 5], 7)) == 3
+
+
+def test_encoder_gives_the_ids_of_the_tokenizers_library():
+    rng = np.random.default_rng(4)
+    alphabet = list("aab eé\n'stll  12日本🙂\x00-<|endoftext|>ÑßЖ\u00a0\u2003")
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 300))) for _ in range(1500)] + ["<|endoftext|>", "a" * 4000, " \n" * 500]
+    want = reference().encode_batch(texts, add_special_tokens=False)
+    own = packing.encoder(PATH, P.PATTERN)
+    assert [own.encode_ordinary(t) for t in texts] == [e.ids for e in want]
