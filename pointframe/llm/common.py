@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -26,3 +30,48 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Regroup sorted Arrow batches so that no group is cut: tables of whole groups and their starts (with the end).
+
+    The first ``keys`` columns, numbers without nulls, name the group. Memory is that of a batch plus one group.
+    """
+    kept: pa.Table | None = None
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for c in table.columns[:keys]:
+            v = c.to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.r_[np.flatnonzero(new), table.num_rows]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        table = pa.Table.from_batches([b])
+        if kept is not None:
+            table = pa.concat_tables([kept, table]).combine_chunks()
+        at = starts(table)
+        if len(at) > 2:
+            yield table.slice(0, at[-2]), at[:-1]
+        kept = table.slice(at[-2])
+    if kept is not None and kept.num_rows:
+        yield kept, np.array([0, kept.num_rows])
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, dtype=np.float64) -> np.ndarray:
+    """Rows of equal length without nulls as a matrix."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(flat, pa.ChunkedArray):
+        flat = pa.concat_arrays(flat.chunks)
+    n = len(flat)
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(n, -1) if n else np.zeros((0, 0), dtype)
+
+
+def usable(vector: str) -> Column:
+    """True for vectors that are not null, not empty, not all zero and hold only finite numbers."""
+    v = F.col(vector)
+    ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    return F.coalesce(v.isNotNull() & (F.size(v) > 0) & F.forall(v, ok) & F.exists(v, lambda x: x != 0), F.lit(False))

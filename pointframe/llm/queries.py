@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, sharding, simhash
+from . import ann, bpe, embedding_dedup, packing, pii, secrets, sharding, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return out.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -28,10 +37,27 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_private(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, capacity=1024, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_sharding, op5_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_embedding_dedup, op4_sharding, op5_bpe, op6_toxicity, op7_url_filter, op8_ann, op9_pii, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}

@@ -223,23 +223,46 @@ def hamming_forest(distinct: DataFrame, max_bits: int = 2, node_limit: int = 20_
     return out
 
 
+def link_fingerprints(distinct: DataFrame, max_bits: int = 2, node_limit: int = 20_000) -> DataFrame:
+    """``fp`` and ``root`` for every row of ``distinct(fp)``; linked fingerprints share a root."""
+    nodes = connected_components(hamming_forest(distinct.select("fp"), max_bits, node_limit))
+    return distinct.select("fp").join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", node_limit: int = 20_000) -> DataFrame:
     """One row per input row: ``id_col``, ``fp`` (signed long) and ``component`` (the smallest id reachable over
     links of at most ``max_bits`` differing bits, itself included).
 
     Null and empty texts have fingerprint zero and link with one another. A row whose id is null
     takes part; it never names a component, which is null only where no member has an id. Repeated
-    rows give repeated rows. Other columns of ``docs`` are not read.
+    rows give repeated rows. An empty table gives an empty table. Other columns are not read.
     """
     rows = cut(fingerprints(docs, width, seed, id_col, text_col))
     distinct = cut(rows.groupBy("fp").agg(F.min(id_col).alias("first")))
-    nodes = connected_components(hamming_forest(distinct.select("fp"), max_bits, node_limit))
-    named = distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
     firsts = named.groupBy("root").agg(F.min("first").alias("component"))
     by_fp = named.select("fp", "root").join(firsts, "root").select("fp", "component")
     return rows.join(by_fp, "fp").select(id_col, "fp", "component")
 
 
+def drop_near_copies(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", node_limit: int = 20_000) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (a row without an id only where no
+    row has one; of rows that share that id, the one with the smallest hash of its columns).
+
+    Rows that repeat in all columns are one row. All columns are kept. Texts cross one exchange,
+    after the decision; the walk itself moves fingerprints only.
+    """
+    row_hash = F.xxhash64(*docs.columns)
+    with_hash = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), row_hash.alias("h")).alias("who"))
+    rows = cut(fingerprints(with_hash, width, seed, "who", "text"))
+    distinct = cut(rows.groupBy("fp").agg(F.min("who").alias("who")))
+    named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
+    kept = named.groupBy("root").agg(F.min("who").alias("who")).select(F.col("who.id").alias("kept_id"), F.col("who.h").alias("kept_hash"))
+    marked = docs.withColumn("row hash", row_hash)
+    found = marked.join(kept, (F.col("row hash") == F.col("kept_hash")) & F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+    return found.dropDuplicates(["row hash"]).drop("row hash")
+
+
 def hex_fingerprint(fp: str = "fp"):
     """The 16 lower-case hex digits of a signed 64-bit fingerprint."""
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
