@@ -3,7 +3,7 @@
 The words of a stretch of the corpus are made distinct and laid out as one long run of tokens. An
 inverted index maps each pair of neighbouring tokens to the positions where it stands; merges are
 then replayed in rank order over the whole run, and each touches only its own positions and their
-two neighbours. A word that occurs a million times is merged once. Where a merge brings up a pair
+two neighbours; a merge with many positions takes them all at once. A word that occurs a million times is merged once. Where a merge brings up a pair
 of lower rank, that pair comes next in its word, exactly as in word-by-word encoding.
 
 Tasks need no exchange: each holds a bounded cache of words and merges the new words of a batch
@@ -16,14 +16,15 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CACHE_WORDS = 150_000
+_CACHE_WORDS = 400_000
 _BATCH_BYTES = 8 << 20
 
 
@@ -35,79 +36,116 @@ class MergeReplay:
         self.pattern = regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.byte_id = [ranks[bytes([b])] for b in range(256)]
+        self.rank_of: dict[tuple[int, int], int] = {}
         self.caches: dict[str, dict] = {}  # of words met before by this worker, by kind of entry
 
+    def rank(self, a: int, b: int) -> int:
+        """Rank of the merge of two tokens; -1 if there is none."""
+        r = self.rank_of.get((a, b))
+        if r is None:
+            r = self.rank_of[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+        return r
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of every word, by one replay over all of them."""
-        ranks, known = self.ranks, self.bytes_of
-        out: list[list[int] | None] = []
-        token: list[int] = []
-        spans: list[tuple[int, int, int]] = []
-        for i, w in enumerate(words):
-            whole = ranks.get(w)
-            out.append(None if whole is None and w else [] if not w else [whole])
-            if out[i] is None:
-                spans.append((i, len(token), len(token) + len(w)))
-                token += [self.byte_id[b] for b in w]
-                token.append(-1)
+        size = len(self.bytes_of)
+        ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
+        token = np.append(np.array(self.byte_id, np.int64)[np.frombuffer(b"\n".join(words), np.uint8)], -1) if words else np.zeros(0, np.int64)
+        token[ends] = -1
         n = len(token)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_of: dict[tuple[int, int], int] = {}
-
-        def rank(a: int, b: int) -> int:
-            if a < 0 or b < 0:
-                return -1
-            r = rank_of.get((a, b))
-            if r is None:
-                r = rank_of[a, b] = ranks.get(known[a] + known[b], -1)
-            return r
-
-        # the index: rank of a pair -> ascending positions of its left token; a rank stands for its pairs of equal bytes
-        index: dict[int, list[int]] = {}
-        for p in range(n - 1):
-            r = rank(token[p], token[p + 1])
-            if r >= 0:
-                index.setdefault(r, []).append(p)
-        queue = list(index)
-        heapify(queue)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        # the same memory, for one position at a time
+        t, nxt, prv = memoryview(token), memoryview(after), memoryview(before)
+        index: dict[int, list] = {}  # rank of a pair -> positions of its left token, as numbers and arrays
+        queue: list[int] = []
+
+        def note(positions: np.ndarray) -> None:
+            """Enter the pairs that begin at these positions."""
+            positions = positions[token[positions] >= 0]
+            right = token[after[positions]]
+            positions, right = positions[right >= 0], right[right >= 0]
+            if not len(positions):
+                return
+            pairs, back = np.unique(token[positions] * size + right, return_inverse=True)
+            rank = np.array([self.rank(p // size, p % size) for p in pairs.tolist()], np.int64)[back]
+            order = np.argsort(rank)
+            rank, positions = rank[order], positions[order]
+            at = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
+            for s, e in zip(at, np.r_[at[1:], len(rank)], strict=True):
+                r = int(rank[s])
+                if r in index:
+                    index[r].append(positions[s:e])
+                elif r >= 0:
+                    index[r] = [positions[s:e]]
+                    heappush(queue, r)
+
+        note(np.arange(n))
         while queue:
             r = heappop(queue)
-            positions = index.pop(r, None)
-            if positions is None:
-                continue
-            positions.sort()
+            entries = index.pop(r)
+            count = sum(1 if type(x) is int else len(x) for x in entries)
+            if count >= 48:
+                p = np.unique(np.concatenate([[x] if type(x) is int else x for x in entries]).astype(np.int64))
+                p = p[token[p] >= 0]
+                q = after[p]
+                ok = token[q] >= 0
+                p, q = p[ok], q[ok]
+                pairs, back = np.unique(token[p] * size + token[q], return_inverse=True)
+                ok = np.array([self.rank(x // size, x % size) == r for x in pairs.tolist()], bool)[back]
+                p, q = p[ok], q[ok]
+                if not len(p):
+                    continue
+                # of overlapping positions, as in a run of one letter, every second from the left
+                chained = np.r_[False, q[:-1] == p[1:]]
+                start = np.maximum.accumulate(np.where(chained, 0, np.arange(len(p))))
+                p, q = (x[(np.arange(len(p)) - start) % 2 == 0] for x in (p, q))
+                left, right = before[p], token[after[q]]
+                near = np.where(left >= 0, token[left], -1)
+                near = np.where(np.r_[False, q[:-1] == left[1:]], r, near)
+                sides = np.unique(np.r_[near[near >= 0] * size + r, r * size + right[right >= 0]])
+                if not any(0 <= self.rank(x // size, x % size) < r for x in sides.tolist()):
+                    token[p], token[q] = r, -2
+                    after[p] = after[q]
+                    before[after[p]] = p
+                    left = before[p]
+                    note(np.unique(np.r_[left[left >= 0], p]))
+                    continue
+                entries = p.tolist()
+            positions = sorted({y for x in entries for y in ([x] if type(x) is int else x.tolist())})
             held = -1  # the end of the word whose later positions wait for a lower rank
             for p in positions:
-                left = token[p]
+                left = t[p]
                 if left < 0:
                     continue
-                q = after[p]
-                if rank(left, token[q]) != r:
+                q = nxt[p]
+                if t[q] < 0 or self.rank(left, t[q]) != r:
                     continue
                 if p < held:
                     index.setdefault(r, []).append(p)
                     continue
-                token[p], token[q] = r, -2
-                q = after[p] = after[q]
-                before[q] = p
+                t[p], t[q] = r, -2
+                q = nxt[p] = nxt[q]
+                prv[q] = p
                 low = False
-                for a, b in ((before[p], p), (p, q)):
-                    if a >= 0:
-                        new = rank(token[a], token[b])
+                for a, b in ((prv[p], p), (p, q)):
+                    if a >= 0 and t[a] >= 0 and t[b] >= 0:
+                        new = self.rank(t[a], t[b])
                         if new >= 0:
                             low |= new < r
                             if new in index:
                                 index[new].append(a)
                             else:
                                 index[new] = [a]
-                                heappush(queue, new)
+                                if new != r:
+                                    heappush(queue, new)
                 if low:
-                    held = next(e for e in range(q, n) if token[e] == -1)
+                    held = int(ends[np.searchsorted(ends, p)])
             if r in index:
                 heappush(queue, r)
-        for i, s, e in spans:
-            out[i] = [t for t in token[s:e] if t >= 0]
-        return out
+        alive = token >= 0
+        upto = np.r_[0, np.cumsum(alive)[ends]].tolist()
+        flat = token[alive].tolist()
+        return [flat[s:e] for s, e in zip(upto[:-1], upto[1:], strict=True)]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes that the ids stand for."""
@@ -134,6 +172,8 @@ def _encoded(texts: Iterator[str], replay: MergeReplay, cache: dict, entry) -> I
             yield [cache[w] for w in words]
         if len(cache) > _CACHE_WORDS:
             cache.clear()
+        if len(replay.rank_of) > 1_000_000:
+            replay.rank_of.clear()
 
     for text in texts:
         stretch.append(replay.pattern.findall(text))
@@ -188,13 +228,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = load(path, pattern)
         cache = replay.caches.setdefault("digests", {})
-        entry = lambda ids: (len(ids), ",".join(map(str, ids)), replay.decode(ids))
+        entry = lambda ids: (",".join(map(str, ids)), replay.decode(ids))
         for b in batches:
             n, ids, back = [], [], []
             for words in _encoded((t.as_py() or "" for t in b.column(1)), replay, cache, entry):
-                n.append(sum(w[0] for w in words))
-                ids.append(hashlib.sha256(",".join([w[1] for w in words]).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([w[2] for w in words])).hexdigest())
+                text = ",".join([w[0] for w in words])
+                n.append(text.count(",") + 1 if words else 0)
+                ids.append(hashlib.sha256(text.encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join([w[1] for w in words])).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
