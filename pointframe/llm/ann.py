@@ -74,9 +74,13 @@ def nearest(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np
     return order[rank < k]
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, probes: int = 16, block: int = 4096, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 8, probe_share: float = 0.16, block: int = 4096, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k rows of the largest inner product found for each query, its own id excluded.
 
+    A query probes ``probe_share`` of a table's axes, and more until the table has shown it k others.
+    On vectors without any structure the k nearest are hardly nearer than the rest: the defaults are
+    set for a recall above 0.95 even there, at the price of meeting seven tenths of all rows.
+
     Returns ``query_id``, ``rank`` (from 1), ``id_col`` and ``score``; ties go to the smaller id, and
     queries with fewer candidates have fewer rows. Vectors that are null, empty, all zero or hold
     null or non-finite numbers take no part, nor do null ids; vectors of a length other than the
@@ -102,7 +106,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
                 for t in range(tables):
                     near = axes(turned(u, t, seed), 2 * width if is_query else 1)
                     # a query probes on until its table has shown it k others
-                    n = np.ones(len(u), int) if filled is None else np.maximum(probes, (np.cumsum(filled[t][near], axis=1) <= k).sum(1) + 1)
+                    n = np.ones(len(u), int) if filled is None else np.maximum(round(probe_share * 2 * width), (np.cumsum(filled[t][near], axis=1) <= k).sum(1) + 1)
                     for row, (order, m) in enumerate(zip(near, n, strict=True)):
                         cells[row].append(order[:m] + t * 2 * width)
                 cells = pa.array([np.concatenate(c).astype(np.int32) for c in cells], pa.list_(pa.int32()))
@@ -112,7 +116,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
 
     def placed(df: DataFrame, *how) -> DataFrame:
         out = df.where(F.size("v") == dim).mapInArrow(hashed(*how), "id long, v array<double>, cells array<int>")
-        return out.select("id", "v", F.explode("cells").alias("cell"))
+        return out.select("id", "v", F.posexplode("cells").alias("nth", "cell"))
 
     points = placed(base, False)
     # at most tables * 4 * dimension cells, so these counts are small whatever the input
@@ -120,6 +124,24 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
     for r in points.groupBy("cell").count().collect():
         filled[r["cell"]] = r["count"]
     probing = placed(asked, True, filled.reshape(tables, -1))
+    # a first round over each query's nearest cell gives scores that the k best can't fall below
+    none = F.lit(float("-inf"))
+    first = _ranked(_round(points, probing.where("nth = 0").withColumn("floor", none), k, block), k)
+    floors = cut(first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(none).alias("floor")))
+    probing = probing.join(floors.withColumnRenamed("query_id", "id"), "id", "left").withColumn("floor", F.coalesce("floor", none))
+    return _ranked(_round(points, probing, k, block), k).select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query among ``found``, which may repeat rows."""
+    once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    ranked = once.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id")))
+    return ranked.where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("int"))
+
+
+def _round(points: DataFrame, probing: DataFrame, k: int, block: int) -> DataFrame:
+    """Exact scores of the best rows of every cell for the queries that probe it, none below a query's ``floor``."""
+    # one row for each cell
     cells = cut(
         points.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("bs"))
         .join(probing.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("qs")), "cell")
@@ -128,7 +150,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
     points = points.withColumn("i", F.pmod(F.xxhash64("id"), "bs").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
     probing = probing.withColumn("j", F.pmod(F.xxhash64("id"), "qs").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("bs") - 1)))
     cell = ["cell", "i", "j"]
-    both = points.select(*cell, F.lit(0).alias("side"), "id", "v").unionByName(probing.select(*cell, F.lit(1).alias("side"), "id", "v"))
+    both = points.select(*cell, F.lit(0).alias("side"), "id", F.lit(0.0).alias("floor"), "v").unionByName(probing.select(*cell, F.lit(1).alias("side"), "id", "floor", "v"))
     both = both.repartition(*cell).sortWithinPartitions(*cell, "side", "id")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +163,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
             return [(q[best], i[best], s[best])]
 
         for table, at in whole_groups(batches, 3):
-            side, ids, v = table.column("side").to_numpy(), table.column("id").to_numpy(), matrix(table.column("v"))
+            side, ids, floors, v = (*(table.column(c).to_numpy() for c in ("side", "id", "floor")), matrix(table.column("v")))
             for s, e in zip(at[:-1], at[1:], strict=True):
                 m = s + int(np.count_nonzero(side[s:e] == 0))
                 if m == s:
@@ -151,6 +173,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
                     score = np.round(v[q] @ v[s:m].T, 12)
                     score[ids[q][:, None] == ids[None, s:m]] = -np.inf
                     floor = np.partition(score, -min(k, m - s), axis=1)[:, -min(k, m - s)]
+                    floor = np.maximum(floor, floors[q] - 1e-11)
                     a, b = np.nonzero((score >= floor[:, None]) & (score > -np.inf))
                     if not len(a):
                         continue
@@ -165,6 +188,4 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, pr
             q, i, s = merged()[0]
             yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], ["query_id", "id", "score"])
 
-    found = both.mapInArrow(rerank, "query_id long, id long, score double").groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), F.col("id").alias(id_col), "score")
+    return both.mapInArrow(rerank, "query_id long, id long, score double")
