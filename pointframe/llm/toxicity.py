@@ -50,6 +50,11 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _STEM_LENGTHS = range(3, 9)
 
 
+def _clauses(text: str | None) -> set[str]:
+    """Distinct clauses of a text, lower-cased."""
+    return {c.strip() for c in _CLAUSE.split((text or "").lower())}
+
+
 def composed(a: dict, b: dict) -> dict:
     """Composition of two transducers ``{(state, symbol): (state, marks)}`` that read the same symbols."""
     start, table = ("0", "0"), {}
@@ -121,8 +126,8 @@ class Scorer:
     def features(self, text: str | None) -> list[float]:
         """What the fit weighs: 1; summed weights by mark; aimed threats; minus the cost of the words. Sums end at 40."""
         marks, threats, words = [0.0] * 4, 0.0, 0
-        for clause in set(_CLAUSE.split(text or "")):
-            found = _WORD.findall(clause.lower())
+        for clause in _clauses(text):
+            found = _WORD.findall(clause)
             words += len(found)
             symbols = [self.symbol(w) for w in found]
             if not any(s in (INSULT, THREAT) for s, _ in symbols):
@@ -147,8 +152,8 @@ def _stem_counts(texts: Iterator[tuple[str | None, int]]) -> Iterator[tuple[dict
     for text, y in texts:
         own: Counter = Counter()
         total = 0
-        for clause in set(_CLAUSE.split(text or "")):
-            for w in _WORD.findall(clause.lower()):
+        for clause in _clauses(text):
+            for w in _WORD.findall(clause):
                 total += 1
                 own[w + "$"] += 1
                 own.update(w[:n] for n in _STEM_LENGTHS if n < len(w))
