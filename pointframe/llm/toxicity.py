@@ -235,14 +235,21 @@ def train(rows: DataFrame, max_stems: int = 300, least_g2: float = 34.0) -> Mode
 
 def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 4.0) -> np.ndarray:
     """Logistic weights with a Gaussian prior around ``prior``."""
-    w = prior.copy()
-    pull = np.full(len(w), strength)
-    pull[0] = 0.01
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    w, pull = prior.copy(), np.full(len(prior), strength)
+    pull[0] = 0.1
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - y * z).sum() + (pull * (v - prior) ** 2).sum() / 2)
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * (w - prior))
-        w += step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > loss(w):
+            size /= 2
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w
 
