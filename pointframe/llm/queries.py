@@ -60,4 +60,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_embedding_dedup, op4_sharding, op5_bpe, op6_toxicity, op7_url_filter, op8_ann, op9_pii, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+
+#: The other operators rest on hashes, tokenizers, fitted models or approximate search; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+        r AS (SELECT vec_id, vec_id AS m FROM v UNION SELECT r.vec_id, e.b FROM r JOIN e ON r.m = e.a),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
+        SELECT r.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.m) AS component_id, min(r.m) = r.vec_id AS kept FROM r LEFT JOIN n ON n.vec_id = r.vec_id GROUP BY r.vec_id""",
+}
