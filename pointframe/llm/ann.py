@@ -102,14 +102,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 8, pr
                 if not b.num_rows:
                     continue
                 u = _directions(matrix(b.column(1)), high, extra, is_query)
-                cells: list[list[np.ndarray]] = [[] for _ in range(len(u))]
+                nearest_two: list[list[np.ndarray]] = [[] for _ in range(len(u))]
+                others: list[list[np.ndarray]] = [[] for _ in range(len(u))]
                 for t in range(tables):
                     near = axes(turned(u, t, seed), 2 * width if is_query else 1)
                     # a query probes on until its table has shown it k others
                     n = np.ones(len(u), int) if filled is None else np.maximum(round(probe_share * 2 * width), (np.cumsum(filled[t][near], axis=1) <= k).sum(1) + 1)
                     for row, (order, m) in enumerate(zip(near, n, strict=True)):
-                        cells[row].append(order[:m] + t * 2 * width)
-                cells = pa.array([np.concatenate(c).astype(np.int32) for c in cells], pa.list_(pa.int32()))
+                        nearest_two[row].append(order[: min(m, 2)] + t * 2 * width)
+                        others[row].append(order[2:m] + t * 2 * width)
+                cells = pa.array([np.concatenate(a + b).astype(np.int32) for a, b in zip(nearest_two, others, strict=True)], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), cells], ["id", "v", "cells"])
 
         return run
@@ -124,9 +126,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 8, pr
     for r in points.groupBy("cell").count().collect():
         filled[r["cell"]] = r["count"]
     probing = placed(asked, True, filled.reshape(tables, -1))
-    # a first round over each query's nearest cell gives scores that the k best can't fall below
+    # a first round over each query's two nearest cells of every table gives scores that the k best can't fall below
     none = F.lit(float("-inf"))
-    first = _ranked(_round(points, probing.where("nth = 0").withColumn("floor", none), k, block), k)
+    first = _ranked(_round(points, probing.where(F.col("nth") < 2 * tables).withColumn("floor", none), k, block), k)
     floors = cut(first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(none).alias("floor")))
     probing = probing.join(floors.withColumnRenamed("query_id", "id"), "id", "left").withColumn("floor", F.coalesce("floor", none))
     return _ranked(_round(points, probing, k, block), k).select("query_id", "rank", F.col("id").alias(id_col), "score")
