@@ -69,8 +69,8 @@ def error_bound(factor: np.ndarray, dim: int, epsilon: float) -> np.ndarray:
 
 
 def bands(rows: int, threshold: float, recall: float) -> tuple[int, int]:
-    """Bits of a band and number of bands: buckets of some 64 rows, pairs at the threshold found with ``recall``."""
-    bits = min(32, max(6, int(math.log2(max(rows, 2))) - 5))
+    """Bits of a band and number of bands: buckets of some 256 rows, pairs at the threshold found with ``recall``."""
+    bits = min(32, max(6, int(math.log2(max(rows, 2))) - 8))
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
