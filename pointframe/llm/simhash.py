@@ -252,15 +252,17 @@ def drop_near_copies(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: i
     Rows that repeat in all columns are one row. All columns are kept. Texts cross one exchange,
     after the decision; the walk itself moves fingerprints only.
     """
-    row_hash = F.xxhash64(*docs.columns)
+    plain = {f.name: "map<" not in f.dataType.simpleString() for f in docs.schema.fields}  # Spark doesn't hash maps
+    row_hash = F.xxhash64(*(docs[c] if plain[c] else F.to_json(F.struct(docs[c])) for c in docs.columns))
     with_hash = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), row_hash.alias("h")).alias("who"))
     rows = cut(fingerprints(with_hash, width, seed, "who", "text"))
     distinct = cut(rows.groupBy("fp").agg(F.min("who").alias("who")))
     named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
     kept = named.groupBy("root").agg(F.min("who").alias("who")).select(F.col("who.id").alias("kept_id"), F.col("who.h").alias("kept_hash"))
-    marked = docs.withColumn("row hash", row_hash)
-    found = marked.join(kept, (F.col("row hash") == F.col("kept_hash")) & F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
-    return found.dropDuplicates(["row hash"]).drop("row hash")
+    mark = "row hash" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    marked = docs.withColumn(mark, row_hash)
+    found = marked.join(kept, (marked[mark] == kept["kept_hash"]) & marked[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    return found.dropDuplicates([mark]).drop(mark)
 
 
 def hex_fingerprint(fp: str = "fp"):

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut
 
@@ -260,7 +261,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
     Null and empty texts have the score of no matched clause. Columns of these names are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "score double"])
+    schema = T.StructType([*(T.StructField(c, docs.schema[c].dataType) for c in kept), T.StructField("score", T.DoubleType())])
     at = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
