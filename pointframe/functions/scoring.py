@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,17 @@ def tokens(text: str | Column) -> Column:
 
 
 def match_text(text: str | Column, query: str | Column) -> Column:
-    """Share of the query's distinct words that the text holds; null for a query without words."""
-    q = tokens(F.lit(query) if isinstance(query, str) else query)
-    return F.try_divide(F.size(F.array_intersect(tokens(text), q)).cast("double"), F.size(q).cast("double"))
+    """Share of the query's distinct words that the text holds; null for a query without words.
+
+    Words of a local query are looked for one by one, first as plain substrings, so texts aren't split.
+    """
+    if isinstance(query, Column):
+        q = tokens(query)
+        return F.try_divide(F.size(F.array_intersect(tokens(text), q)).cast("double"), F.size(q).cast("double"))
+    words = list(dict.fromkeys(re.findall(r"\w+", query.lower())))
+    low = F.lower(_col(text))
+    held = [(low.contains(w) & low.rlike(rf"(?<![\p{{L}}\p{{N}}_]){w}(?![\p{{L}}\p{{N}}_])")).cast("double") for w in words]
+    return sum(held, F.lit(0.0)) / len(words) if words else F.lit(None).cast("double")
 
 
 def has_field(payload: str | Column, key: str) -> Column:
