@@ -6,6 +6,7 @@ top-k (scores are ordered with nulls last).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
@@ -44,6 +45,8 @@ def dot(a: Vector, b: Vector) -> Column:
 
 
 def norm(a: Vector) -> Column:
+    if not isinstance(a, (str, Column)):  # Spark doesn't fold higher-order functions of literals
+        return F.lit(math.sqrt(sum(float(x) ** 2 for x in a)))
     v = vector(a)
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
 

@@ -30,18 +30,19 @@ def score(collection: Collection, query: V.Vector, using: str | None = None, met
 
 
 def top_k(scored: DataFrame, k: int, by: str = "score", ascending: bool = False) -> DataFrame:
-    """The k best rows: nulls last, ties by id."""
+    """The k best rows: nulls last, ties by id.
+
+    Nulls sort last, so they are dropped from the k rows: a filter below would score every point twice.
+    """
     order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
-    return scored.where(F.col(by).isNotNull()).orderBy(order, "id").limit(k)
+    return scored.orderBy(order, "id").limit(k).where(F.col(by).isNotNull())
 
 
 def search(collection: Collection, query: V.Vector, k: int = 10, using: str | None = None, where: Column | str | None = None, threshold: float | None = None, columns: Sequence[str] = ("id", "payload"), metric: str | None = None) -> DataFrame:
     """The k nearest points to a vector: ``columns`` and ``score``. ``where`` filters points first."""
     df = collection.df if where is None else collection.df.where(where)
-    scored = df.select(*columns, score(collection, query, using, metric).alias("score"))
-    if threshold is not None:
-        scored = scored.where(F.col("score") > threshold)
-    return top_k(scored, k)
+    best = top_k(df.select(*columns, score(collection, query, using, metric).alias("score")), k)
+    return best if threshold is None else best.where(F.col("score") > threshold)
 
 
 def vector_of(collection: Collection, point_id: str, using: str | None = None) -> list[float] | None:
