@@ -47,6 +47,8 @@ def turned(x: np.ndarray, table: int, seed: int) -> np.ndarray:
 def axes(x: np.ndarray, probes: int) -> np.ndarray:
     """The ``probes`` nearest signed axes of every row, nearest first: 2 * axis, plus 1 if negative."""
     score = np.stack([x, -x], axis=2).reshape(len(x), -1)
+    if probes == 1:
+        return score.argmax(1)[:, None]
     return np.argsort(-score, axis=1, kind="stable")[:, :probes]
 
 
@@ -87,45 +89,50 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 8, pr
     most common one are not comparable and take no part. Rows that repeat an id count once. Other
     columns are not read.
     """
-    keep = lambda df: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    keep = lambda df: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     base, asked = keep(rows), keep(queries)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     dims = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high")).orderBy(F.desc("n"), "d").first()
     dim, low, high = (dims.d, dims.low, dims.high) if dims else (1, 1.0, 1.0)
     extra = low < high * (1 - 1e-4)
 
     width = 1 << (dim + extra - 1).bit_length()
 
-    def hashed(is_query: bool, filled: np.ndarray | None = None):
+    def points_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            u = _directions(matrix(b.column(1)), high, extra, False)
+            cells = np.stack([axes(turned(u, t, seed), 1)[:, 0] + t * 2 * width for t in range(tables)], axis=1)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(cells.ravel(), np.full(len(u), tables))], ["id", "v", "cells"])
+
+    def query_cells(filled: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                if not b.num_rows:
-                    continue
-                u = _directions(matrix(b.column(1)), high, extra, is_query)
-                nearest_two: list[list[np.ndarray]] = [[] for _ in range(len(u))]
+                u = _directions(matrix(b.column(1)), high, extra, True)
+                first: list[list[np.ndarray]] = [[] for _ in range(len(u))]
                 others: list[list[np.ndarray]] = [[] for _ in range(len(u))]
                 for t in range(tables):
-                    near = axes(turned(u, t, seed), 2 * width if is_query else 1)
+                    near = axes(turned(u, t, seed), 2 * width)
                     # a query probes on until its table has shown it k others
-                    n = np.ones(len(u), int) if filled is None else np.maximum(round(probe_share * 2 * width), (np.cumsum(filled[t][near], axis=1) <= k).sum(1) + 1)
+                    n = np.maximum(max(2, round(probe_share * 2 * width)), (np.cumsum(filled[t][near], axis=1) <= k).sum(1) + 1)
                     for row, (order, m) in enumerate(zip(near, n, strict=True)):
-                        nearest_two[row].append(order[: min(m, 2)] + t * 2 * width)
+                        first[row].append(order[:2] + t * 2 * width)
                         others[row].append(order[2:m] + t * 2 * width)
-                cells = pa.array([np.concatenate(a + b).astype(np.int32) for a, b in zip(nearest_two, others, strict=True)], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), cells], ["id", "v", "cells"])
+                cells = [np.concatenate(a + b) for a, b in zip(first, others, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(np.concatenate(cells), np.array([len(c) for c in cells]))], ["id", "v", "cells"])
 
         return run
 
-    def placed(df: DataFrame, *how) -> DataFrame:
-        out = df.where(F.size("v") == dim).mapInArrow(hashed(*how), "id long, v array<double>, cells array<int>")
-        return out.select("id", "v", F.posexplode("cells").alias("nth", "cell"))
+    def placed(df: DataFrame, how) -> DataFrame:
+        kind = df.schema["v"].dataType.simpleString()
+        rows = cut(df.where(F.size("v") == dim).mapInArrow(_filled_batches(how), f"id long, v {kind}, cells array<int>"))
+        return rows.select("id", "v", F.posexplode("cells").alias("nth", "cell"))
 
-    points = placed(base, False)
+    points = placed(base, points_cells)
     # at most tables * 4 * dimension cells, so these counts are small whatever the input
     filled = np.zeros(tables * 2 * width, np.int64)
     for r in points.groupBy("cell").count().collect():
         filled[r["cell"]] = r["count"]
-    probing = placed(asked, True, filled.reshape(tables, -1))
+    probing = placed(asked, query_cells(filled.reshape(tables, -1)))
     # a first round over each query's two nearest cells of every table gives scores that the k best can't fall below
     none = F.lit(float("-inf"))
     first = _ranked(_round(points, probing.where(F.col("nth") < 2 * tables).withColumn("floor", none), k, block), k)
@@ -134,6 +141,15 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, tables: int = 8, pr
     return _ranked(_round(points, probing, k, block), k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
+def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat.astype(np.int32)))
+
+
+def _filled_batches(run):
+    """The Arrow function without empty batches."""
+    return lambda batches: run(b for b in batches if b.num_rows)
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query among ``found``, which may repeat rows."""
     once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
