@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from pointframe.llm import packing, secrets, simhash, toxicity
 from pointframe.llm.common import ensure_checkpoint_dir
+from pointframe.workers import with_workers
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -44,7 +45,12 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.pack(docs, path, public_tokenizers.PATTERN, capacity=1024, with_ids=False)
 
 
-STAGES = [("toxicity", drop_toxic), ("simhash_dedup", drop_near_copies), ("secrets", redact_secrets), ("packing", pack_windows)]
+STAGES = [
+    ("toxicity", with_workers(drop_toxic)),
+    ("simhash_dedup", with_workers(drop_near_copies)),
+    ("secrets", with_workers(redact_secrets)),
+    ("packing", with_workers(pack_windows)),
+]
 
 ORACLE_SQL = None
 

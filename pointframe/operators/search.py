@@ -19,6 +19,7 @@ from ..errors import MalformedVector
 from ..functions import vectors as V
 from ..sources.collection import Collection
 from ..sources.config import COSINE, DOT, EUCLID, MANHATTAN
+from ..workers import importable
 
 
 def score(collection: Collection, query: V.Vector, using: str | None = None, metric: str | None = None) -> Column:
@@ -129,6 +130,7 @@ def search_batch(collection: Collection, queries: DataFrame, k: int = 10, using:
     name, params = collection.config.resolve(using)
     if params.multivector or params.distance == MANHATTAN and params.size > 4096:
         raise MalformedVector("batch search takes dense vectors")
+    importable(collection.spark)
     queries = queries.where(F.col("query_id").isNotNull() & (F.size("vector") == params.size)).select("query_id", F.col("vector").cast("array<double>").alias("vector"))
     points = collection.df.where(F.size(name) == params.size).select("id", F.col(name).cast("array<double>").alias("v"))
     blocks = max(1, -(-queries.count() // max_local))
