@@ -261,10 +261,10 @@ def fusion_rrf_inner(spark, sf):
     return _r(fusion.fuse_rrf(_two_lists(spark, sf, 200), 10, limit=200, mode="inner"))
 
 
-@query(_P + """, s AS (SELECT q.vec_id AS query_id, p.id, list_cosine_similarity(q.v, p.v) AS x, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.v, p.v) DESC, p.id) AS rank FROM p q, p WHERE q.vec_id % 10 = 0)
+@query(_P + """, s AS (SELECT q.vec_id AS query_id, p.id, list_cosine_similarity(q.v, p.v) AS x, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.v, p.v) DESC, p.id) AS rank FROM p q, p WHERE q.vec_id % 50 = 0)
     SELECT query_id, CAST(rank AS INT) AS rank, id, round(x, 6) AS score FROM s WHERE rank <= 5""")
 def batch_topk(spark, sf):
-    asked = _read(spark, sf, "embeddings").where("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = _read(spark, sf, "embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return _r(search.search_batch(points(spark, sf), asked, 5)).withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -357,23 +357,23 @@ def window_top_per_label(spark, sf):
     return s.withColumn("r", F.row_number().over(W.partitionBy("label").orderBy(F.desc("x"), "id"))).where("r <= 3").select("id", "label", "r")
 
 
-@query(_P + " SELECT id FROM p WHERE label < 3 UNION SELECT id FROM p WHERE label > 7 EXCEPT SELECT id FROM p WHERE vec_id % 2 = 0")
+@query(_P + " SELECT id FROM p WHERE label < 3 UNION SELECT id FROM p WHERE label > 7 EXCEPT SELECT id FROM p WHERE label IN (0, 9)")
 def set_operations(spark, sf):
     d = points(spark, sf).df.select("id", J.json_get_int("payload", "label").alias("label"))
     either = d.where("label < 3").select("id").union(d.where("label > 7").select("id")).distinct()
-    return either.exceptAll(d.where(F.col("id").cast("long") % 2 == 0).select("id"))
+    return either.exceptAll(d.where("label in (0, 9)").select("id"))
 
 
-@query(_P + """ SELECT CAST(coalesce(label, -1) AS INT) AS label, coalesce(vec_id % 2, -1) AS parity, count(*) AS n FROM p GROUP BY CUBE (label, vec_id % 2)""")
+@query(_P + """ SELECT CAST(coalesce(label, -1) AS INT) AS label, CAST(coalesce(label // 5, -1) AS BIGINT) AS half, count(*) AS n FROM p GROUP BY CUBE (label, label // 5)""")
 def cube_counts(spark, sf):
-    d = points(spark, sf).df.select(J.json_get_int("payload", "label").cast("int").alias("label"), (F.col("id").cast("long") % 2).alias("parity"))
-    return d.cube("label", "parity").agg(F.count("*").alias("n")).fillna(-1)
+    d = points(spark, sf).df.select(J.json_get_int("payload", "label").cast("int").alias("label")).withColumn("half", F.expr("label div 5"))
+    return d.cube("label", "half").agg(F.count("*").alias("n")).fillna(-1)
 
 
-@query(_P + """ SELECT id, CASE WHEN vec_id % 4 = 0 THEN '{"label":-1}' ELSE payload END AS payload FROM p UNION ALL SELECT 'new' AS id, '{"label":99}' AS payload""")
+@query(_P + """ SELECT id, CASE WHEN label < 3 THEN '{"label":-1}' ELSE payload END AS payload FROM p UNION ALL SELECT 'new' AS id, '{"label":99}' AS payload""")
 def upsert(spark, sf):
     c = points(spark, sf)
-    changed = c.df.where(F.col("id").cast("long") % 4 == 0).withColumn("payload", F.lit('{"label":-1}'))
+    changed = c.df.where(J.json_get_int("payload", "label") < 3).withColumn("payload", F.lit('{"label":-1}'))
     added = changed.limit(1).select(F.lit("new").alias("id"), F.lit('{"label":99}').alias("payload"), "vector")
     return c.upsert(changed.unionByName(added)).df.select("id", "payload")
 
