@@ -24,7 +24,13 @@ def vector(v: Vector) -> Column:
         return F.col(v)
     if isinstance(v, Column):
         return v
-    return F.array(*[F.lit(float(x)) for x in v]).cast("array<double>")
+    return _literal(v)
+
+
+def _literal(v: Sequence[float]) -> Column:
+    """One parsed literal; a call to the JVM for each number would cost more than a small search."""
+    one = lambda x: f"{x!r}D" if math.isfinite(x) else f"CAST('{x}' AS DOUBLE)"
+    return F.expr(f"CAST(array({', '.join(one(float(x)) for x in v)}) AS ARRAY<DOUBLE>)")
 
 
 def checked(v: Vector, size: int | None) -> Vector:
