@@ -1,8 +1,8 @@
-"""Corpus pipeline: toxicity, SimHash near-dedup, secret redaction, packing.
+"""Corpus pipeline: toxicity, near-dedup, secret redaction, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. ``run`` writes
 each stage's rows as Parquet below the shared checkpoint folder and reads them again for the next.
-SQL can't express the stages (a learned grammar, xxHash fingerprints, a forest, a tokenizer), so
+SQL can't express the stages (a learned grammar, MinHash bands, a forest, a tokenizer), so
 ``ORACLE_SQL`` is None and the stages are tested against brute-force versions.
 """
 
@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointframe.llm import packing, secrets, simhash, toxicity
+from pointframe.llm import near_copies, packing, secrets, toxicity
 from pointframe.llm.common import ensure_checkpoint_dir
 from pointframe.workers import with_workers
 
@@ -29,8 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    return simhash.drop_near_copies(docs.select(*COLUMNS))
+    """One document of each group of near copies (five-word shingles alike to 0.8 or more): the one with the smallest id."""
+    return near_copies.drop_near_copies(docs.select(*COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,6 +245,25 @@ def simhash_components(docs: DataFrame, max_bits: int = 2, width: int = 3, seed:
     return rows.join(by_fp, "fp").select(id_col, "fp", "component")
 
 
+def _row_hash(docs: DataFrame):
+    plain = {f.name: "map<" not in f.dataType.simpleString() for f in docs.schema.fields}  # Spark doesn't hash maps
+    return F.xxhash64(*(docs[c] if plain[c] else F.to_json(F.struct(docs[c])) for c in docs.columns))
+
+
+def named_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``who`` (smallest for the row to keep: lacks an id, id, hash of all columns) and ``text`` of every row."""
+    return docs.select(F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), _row_hash(docs).alias("h")).alias("who"), F.col(text_col).alias("text"))
+
+
+def only_named(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``kept(who)`` names, each once."""
+    kept = kept.select(F.col("who.id").alias("kept_id"), F.col("who.h").alias("kept_hash"))
+    mark = "row hash" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    marked = docs.withColumn(mark, _row_hash(docs))
+    found = marked.join(kept, (marked[mark] == kept["kept_hash"]) & marked[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    return found.dropDuplicates([mark]).drop(mark)
+
+
 def drop_near_copies(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", node_limit: int = 20_000) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (a row without an id only where no
     row has one; of rows that share that id, the one with the smallest hash of its columns).
@@ -252,17 +271,11 @@ def drop_near_copies(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: i
     Rows that repeat in all columns are one row. All columns are kept. Texts cross one exchange,
     after the decision; the walk itself moves fingerprints only.
     """
-    plain = {f.name: "map<" not in f.dataType.simpleString() for f in docs.schema.fields}  # Spark doesn't hash maps
-    row_hash = F.xxhash64(*(docs[c] if plain[c] else F.to_json(F.struct(docs[c])) for c in docs.columns))
-    with_hash = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), row_hash.alias("h")).alias("who"))
+    with_hash = named_rows(docs, id_col, text_col)
     rows = cut(fingerprints(with_hash, width, seed, "who", "text"))
     distinct = cut(rows.groupBy("fp").agg(F.min("who").alias("who")))
     named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
-    kept = named.groupBy("root").agg(F.min("who").alias("who")).select(F.col("who.id").alias("kept_id"), F.col("who.h").alias("kept_hash"))
-    mark = "row hash" + "_" * max(map(len, docs.columns))  # longer than any column's name
-    marked = docs.withColumn(mark, row_hash)
-    found = marked.join(kept, (marked[mark] == kept["kept_hash"]) & marked[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
-    return found.dropDuplicates([mark]).drop(mark)
+    return only_named(docs, named.groupBy("root").agg(F.min("who").alias("who")), id_col)
 
 
 def hex_fingerprint(fp: str = "fp"):

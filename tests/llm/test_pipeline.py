@@ -63,3 +63,31 @@ def test_one_row_of_each_group(spark):
     rows = [(i, base[i % 30], i) for i in range(600)]
     out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, kept_id long").selectExpr("*", "map('a', named_struct('b', 1)) as kept_hash").drop("x"))
     assert sorted(r.doc_id for r in out.collect()) == list(range(30)) and out.columns == ["doc_id", "text", "kept_id", "kept_hash"]
+
+
+def slow_near_copies(ids, texts):
+    """The smallest id of each component of texts whose five-word shingles are alike to 0.8 or more."""
+    words = [t.encode().lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    root = list(range(len(ids)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for i in range(len(ids)):
+        for j in range(i):
+            small, large = sorted((len(sets[i]), len(sets[j])))
+            if small >= 0.8 * large and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j), key=lambda x: ids[x])] = min(find(i), find(j), key=lambda x: ids[x])
+    return sorted({ids[find(i)] for i in range(len(ids))})
+
+
+def test_near_copies_by_five_word_shingles(spark, sf):
+    rng = np.random.default_rng(5)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    raw = docs.toPandas()
+    rows = list(raw.itertuples(index=False, name=None))
+    for r in raw[raw.text.str.split().str.len() >= 300].head(25).itertuples():
+        for copy in range(3):
+            words = r.text.split()
+            words[7 + copy :: 50] = [f"changed{x}" for x in rng.integers(0, 10**9, len(words[7 + copy :: 50]))]
+            rows.append((10**6 + 10 * r.doc_id + copy, " ".join(words), r.lang, r.source, r.n_chars))
+    got = C.drop_near_copies(spark, spark.createDataFrame(rows, docs.schema), sf)
+    assert sorted(r.doc_id for r in got.collect()) == slow_near_copies([r[0] for r in rows], [r[1] for r in rows])
