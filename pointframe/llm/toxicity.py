@@ -3,9 +3,10 @@
 A lexical transducer maps each word of a clause to a symbol (insult, threat, target, negation,
 reported speech, other) and, for insults, a weight. Four small transducers read the symbols: one
 remembers a negation for a few words, one a verb of speech for the rest of the clause, one a person
-spoken to or of, and one couples threats with a target. Their composition, one table built in
-advance, marks every insult of a clause as plain, aimed, negated or reported. A document is scored
-from the weights of its matched clauses; a word outside the grammar's patterns weighs nothing.
+spoken to or of; their composition is one table built in advance. The fourth reads the clause from
+its end and so couples an insult or threat with the target that follows it. Together they mark every
+insult of a clause as plain, aimed, negated or reported, and threats as aimed or not. A document is
+scored from the weights of its matched clauses; a word outside the grammar's patterns weighs nothing.
 
 The general word lists are fixed. Insult stems of the corpus at hand are learned from labelled
 documents: word beginnings and words that are much more frequent in documents labelled toxic. A hit
@@ -83,9 +84,19 @@ def _memory(symbol: int, mark: int, span: int | None, reads: tuple[int, ...] = (
     return table
 
 
-def grammar() -> dict:
-    """The composed transducer: negation, reported speech, and a target before the insult or threat."""
-    return composed(composed(_memory(NEGATION, NEGATED, 3), _memory(REPORT, REPORTED, None)), _memory(TARGET, AIMED, 6))
+def grammar() -> tuple[dict, dict]:
+    """The composed transducer (negation, reported speech, a target before the insult or threat) and the one that
+    reads a clause backwards (a target after it)."""
+    aimed = _memory(TARGET, AIMED, 6)
+    return composed(composed(_memory(NEGATION, NEGATED, 3), _memory(REPORT, REPORTED, None)), aimed), aimed
+
+
+def _marks(table: dict, symbols: list[int]) -> list[frozenset]:
+    state, out = "0", []
+    for s in symbols:
+        state, marked = table[state, s]
+        out.append(marked)
+    return out
 
 
 @dataclass
@@ -103,7 +114,7 @@ class Scorer:
     """Runs the grammar over texts; one for each task."""
 
     def __init__(self, model: Model):
-        self.model, self.table = model, grammar()
+        self.model, (self.table, self.backwards) = model, grammar()
         self.fixed = {w: (s, 0.0) for s, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.fixed |= {w: (INSULT, v) for w, v in model.words.items()}
         self.known: dict[str, tuple[int, float]] = {}
@@ -133,9 +144,9 @@ class Scorer:
             symbols = [self.symbol(w) for w in found]
             if not any(s in (INSULT, THREAT) for s, _ in symbols):
                 continue
-            state = "0"
-            for s, weight in symbols:
-                state, marked = self.table[state, s]
+            read = [s for s, _ in symbols]
+            for (s, weight), before, after in zip(symbols, _marks(self.table, read), reversed(_marks(self.backwards, read[::-1])), strict=True):
+                marked = before | after
                 if s == INSULT:
                     marks[REPORTED if REPORTED in marked else NEGATED if NEGATED in marked else AIMED if AIMED in marked else PLAIN] += weight
                 elif s == THREAT and AIMED in marked and not marked & {NEGATED, REPORTED}:

@@ -63,3 +63,13 @@ def test_edges(spark):
     assert T.toxicity(docs.limit(0), labels).count() == 0
     kept = T.score(docs, T.Model())
     assert kept.columns == ["doc_id", "text", "score", "predicted"]
+
+
+def test_targets_on_both_sides():
+    s = T.Scorer(T.Model())
+    plain, aimed, threats = 1, 2, 5
+    for text in ("you I will kill", "I will kill you", "we destroy you all", "ich werde dich töten", "wir vernichten euch", "kill one two three four five you"):
+        assert s.features(text)[threats] == 1, text
+    for text in ("I will kill", "I will not kill you", "she said I will kill you", "I will kill. You", "kill one two three four five six you"):
+        assert s.features(text)[threats] == 0, text
+    assert s.features("idiot, you")[aimed] == s.features("you idiot")[aimed] > 0 == s.features("idiot, you")[plain]
