@@ -6,7 +6,9 @@ one surrogate, drawn by a keyed SHA-256 from its kind, canonical form and an att
 surrogate keeps length and character classes, script and, for first names, gender; a mention gets it
 in its own punctuation and case. Surrogates that meet another entity's surrogate, or any entity that
 occurs in the corpus, are drawn again until all are distinct, so equal stays equal and different
-stays different. Without the key the replacement can't be repeated.
+stays different. That holds for first names too (each has its own within a gender, so persons who share
+a last name stay apart): from the second draw on they are composed of several listed names, one more
+with each draw, so the space doesn't run out. Without the key the replacement can't be repeated.
 
 Only rows with a mention are exchanged, by a hash of their text; a text or a mention that is a third
 of all rows is resolved once.
@@ -77,8 +79,12 @@ def _redrawn(chars: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(chars, ""), one), "")
 
 
-def _surrogate(kind: Column, entity: Column, key: Column) -> Column:
-    """Surrogate of a canonical entity under ``key``, which holds the attempt."""
+def _listed(names: list[str], stream: Column):
+    return lambda i: F.element_at(F.array(*map(F.lit, names)), F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % len(names) + 1)
+
+
+def _surrogate(kind: Column, entity: Column, key: Column, attempt: Column) -> Column:
+    """Surrogate of a canonical entity under ``key``, which holds the attempt. First names: 1 + ``attempt`` listed names in one."""
     stream = _stream(key, entity)
     pick = lambda at, n: F.conv(F.substring(stream, at, 4), 16, 10).cast("int") % n
     octets = F.concat_ws(".", *[(pick(1 + 4 * i, 254) + 1).cast("string") for i in range(4)])
@@ -90,7 +96,7 @@ def _surrogate(kind: Column, entity: Column, key: Column) -> Column:
     out = F.when(kind == "ip", octets).when((kind == "email") & (at > 0), address).when(country != "", abroad)
     for (script, gender), names in FIRST_NAMES.items():
         of_script = entity.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~entity.rlike(r"\p{IsCyrillic}")
-        out = out.when((kind == gender) & of_script, F.element_at(F.array(*map(F.lit, names)), pick(1, len(names)) + 1))
+        out = out.when((kind == gender) & of_script, F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), F.least(attempt, F.lit(15))), _listed(names, stream)), "")))
     return out.otherwise(_redrawn(entity, stream))
 
 
@@ -112,17 +118,15 @@ def _parts(kind: str = "kind", mention: str = "mention") -> Column:
 def entity_surrogates(entities: DataFrame, secret: str, max_attempts: int = 40) -> DataFrame:
     """One distinct ``surrogate`` for each distinct ``(kind, entity)``, never an entity that occurs itself.
 
-    First names are exempt: many people share one, and their gender list is short. Should the space
-    of a kind be used up, which only crowded short numbers can do, this raises.
+    Should the space of a kind be used up, which only crowded short numbers can do, this raises.
     """
     known = cut(entities.select("kind", "entity").distinct())
-    draw = lambda df: df.withColumn("surrogate", _surrogate(F.col("kind"), F.col("entity"), F.concat_ws("|", F.lit(secret), "kind", "entity", F.col("attempt").cast("string"))))
+    draw = lambda df: df.withColumn("surrogate", _surrogate(F.col("kind"), F.col("entity"), F.concat_ws("|", F.lit(secret), "kind", "entity", F.col("attempt").cast("string")), F.col("attempt")))
     table = cut(draw(known.withColumn("attempt", F.lit(0))))
     for _ in range(max_attempts):
-        unique = table.where(~F.col("kind").isin(*_NAMES))
-        keepers = unique.groupBy("kind", "surrogate").agg(F.min("entity").alias("keeper"), F.count("*").alias("n"))
-        crowded = unique.join(keepers.where("n > 1"), ["kind", "surrogate"]).where("entity <> keeper").select("kind", "entity")
-        real = unique.join(known.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi").select("kind", "entity")
+        keepers = table.groupBy("kind", "surrogate").agg(F.min("entity").alias("keeper"), F.count("*").alias("n"))
+        crowded = table.join(keepers.where("n > 1"), ["kind", "surrogate"]).where("entity <> keeper").select("kind", "entity")
+        real = table.join(known.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi").select("kind", "entity")
         again = cut(crowded.unionByName(real).distinct())
         if again.isEmpty():
             return table.select("kind", "entity", "surrogate")

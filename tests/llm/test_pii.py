@@ -66,3 +66,14 @@ def test_repeats_and_empty(spark):
     got = pii.replace_private(df).collect()
     assert len(got) == 51 and len({r.text for r in got}) == 2 and not any("a.b@c" in r.text or "1.2.3.4" in r.text for r in got)
     assert pii.replace_private(df.limit(0)).count() == 0
+
+
+def test_persons_stay_distinct(spark):
+    firsts = [f"{a}{b}" for a in ("Karl", "Emil", "Ole", "Per", "Jan", "Hugo") for b in ("", "a", "bert", "mar", "win", "o", "us")]  # more than are listed
+    df = spark.createDataFrame([(i, f"Mr {f} Weber") for i, f in enumerate(firsts)] + [(99, "Mr Karl Weber and Mr Karl Stein and Frau Weber")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.replace_private(df).collect()}
+    assert len({got[i] for i in range(len(firsts))}) == len(firsts)
+    new = [got[i].split()[1] for i in range(len(firsts))]
+    assert not set(new) & set(firsts) and all(re.fullmatch("[A-Z][a-z]+", n) for n in new)
+    a, b, c = re.fullmatch(r"(Mr \w+ \w+) and (Mr \w+ \w+) and Frau (\w+)", got[99]).groups()
+    assert a == got[0] and a.split()[1] == b.split()[1] and a.split()[2] == c != b.split()[2]
