@@ -9,10 +9,9 @@ contexts and n-grams it holds, which is a join and a grouped sum. Two thirds of
 train the models; the rest calibrate the cut on the ratio per character.
 
 DataFrame operations only. URLs are made distinct first, so a URL that is a third of all rows is
-scored once. The sums are partial before the exchange. N-grams are counted over all labelled URLs;
-the model keeps those with at least one ``max_grams``-th of a class's characters (all, on small
-inputs), so no order has more than ``max_grams`` of them and no more contexts: at most
-2 * 2 * (order + 1) * max_grams short rows whatever the input, which is what makes it fit to broadcast.
+scored once. N-grams are counted over all labelled URLs and the model keeps every one, so it grows with
+the input. Only the entries of keys that are hot among the asked ones (at least one in ``_HOT`` positions,
+so a bounded number) are broadcast; all others meet the asked keys by exchange, where no key has many rows.
 """
 
 from __future__ import annotations
@@ -34,6 +33,7 @@ RULES = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _ALPHABET = 96
+_HOT = 2_000
 
 
 def host_and_path(url: str) -> tuple[Column, Column]:
@@ -63,14 +63,16 @@ def _positions(urls: DataFrame, order: int) -> DataFrame:
     return s.withColumn("i", F.explode(F.sequence(F.lit(order + 1), F.length("s"))))
 
 
-def train(labelled: DataFrame, order: int, max_grams: int = 30_000) -> DataFrame:
+def train(labelled: DataFrame, order: int, max_grams: int | None = None) -> DataFrame:
     """Model entries ``key, value`` from ``labelled(url, allow)``; a key is 'g' + n-gram or 'c' + context.
 
-    N-grams rarer than one in ``max_grams`` characters of their class count as unseen."""
+    All n-grams are kept, unless a caller gives ``max_grams``: then those rarer than one in ``max_grams`` characters
+    of their class count as unseen."""
     grams = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"substring(s, i - {k}, {k + 1})").alias("gram")) for k in range(order + 1)])).alias("x")
     counts = cut(_positions(labelled, order).select("allow", grams).groupBy("allow", "x.k", "x.gram").agg(F.count("*").alias("n")))
-    least = counts.where("k = 0").groupBy("allow").agg(F.ceil(F.sum("n") / max_grams).alias("least"))  # two rows
-    counts = cut(counts.join(F.broadcast(least), "allow").where("n >= least").drop("least"))
+    if max_grams is not None:
+        least = counts.where("k = 0").groupBy("allow").agg(F.ceil(F.sum("n") / max_grams).alias("least"))  # two rows
+        counts = cut(counts.join(F.broadcast(least), "allow").where("n >= least").drop("least"))
     lower, entries = None, None
     for k in range(order + 1):
         level = counts.where(F.col("k") == k).withColumn("context", F.expr(f"substring(gram, 1, {k})"))
@@ -93,9 +95,16 @@ def train(labelled: DataFrame, order: int, max_grams: int = 30_000) -> DataFrame
 def ratio(urls: DataFrame, model: DataFrame, order: int) -> DataFrame:
     """``url`` and ``score``, the log-likelihood ratio per character of distinct URLs."""
     keys = [F.expr(f"concat('g', substring(s, i - {k}, {k + 1}))") for k in range(order + 1)] + [F.expr(f"concat('c', substring(s, i - {k}, {k}))") for k in range(order + 1)]
-    asked = _positions(urls, order).select("url", F.explode(F.array(*keys)).alias("key"))
-    sums = asked.join(F.broadcast(model), "key").groupBy("url").agg(F.sum("value").alias("sum"))
-    return urls.select("url").join(sums, "url", "left").select("url", (F.coalesce("sum", F.lit(0.0)) / (F.length("url") + 1)).alias("score"))
+    urls = cut(urls.select("url", F.monotonically_increasing_id().alias("at")))
+    asked = _positions(urls, order).select("at", F.explode(F.array(*keys)).alias("key"))
+    positions = urls.agg(F.sum(F.length("url") + 1)).first()[0] or 0
+    hot = cut(asked.groupBy("key").count().where(F.col("count") >= max(1, positions // _HOT)).select("key"))
+    warm = cut(model.join(F.broadcast(hot), "key", "left_semi"))
+    rest = asked.join(F.broadcast(hot), "key", "left_anti")
+    cold = model.join(F.broadcast(hot), "key", "left_anti").hint("shuffle_hash")
+    values = asked.join(F.broadcast(warm), "key").select("at", "value").unionByName(rest.join(cold, "key").select("at", "value"))
+    sums = values.groupBy("at").agg(F.sum("value").alias("sum"))
+    return urls.join(sums, "at", "left").select("url", (F.coalesce("sum", F.lit(0.0)) / (F.length("url") + 1)).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -114,7 +123,7 @@ def calibrate(scored: DataFrame) -> float:
     return edge
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, order: int = 6, max_grams: int = 30_000, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, order: int = 6, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: ``id_col``, ``host``, ``path``, ``rule``, ``verdict`` and ``score``.
 
     A rule's verdict stands; elsewhere a URL is blocked if its ratio per character lies below the
@@ -130,7 +139,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ord
     labelled = urls.where("verdict is not null").select("url", (F.col("verdict") == "allow").alias("allow"), (F.pmod(F.xxhash64("url"), F.lit(3)) == 0).alias("held"))
     trained_on = labelled.where("not held").select("url", "allow")
     both = {r.allow for r in trained_on.groupBy("allow").count().collect()}
-    model = train(trained_on if len(both) == 2 else trained_on.limit(0), order, max_grams)
+    model = train(trained_on if len(both) == 2 else trained_on.limit(0), order)
     held = labelled.where("held")
     edge = calibrate(ratio(held.select("url"), model, order).join(held, "url").select("score", "allow"))
     open_ = ratio(urls.where("verdict is null").select("url"), model, order)

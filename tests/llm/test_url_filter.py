@@ -93,3 +93,15 @@ def test_edges(spark):
     one_kind = U.filter_urls(df.where("page_id = 4 or page_id = 6")).collect()
     assert {r.verdict for r in one_kind if r.rule is None} == {"allow"}
     assert U.filter_urls(df.limit(0)).count() == 0
+
+
+def test_rare_grams_of_large_inputs_bear_on_scores(spark, monkeypatch):
+    train = [(f"http://{'good' if i % 2 else 'bad'}{i * 7919 % 5003}.example/p{i * i % 9973}", i % 2 == 1) for i in range(3000)]  # beyond 30,000 characters a class
+    train.append(("http://zyxw.test/rare", False))
+    asked = ["http://zyxw.test/rarer", "http://good12.example/p3", "", "http://bad77.example/zyxw"]
+    model = U.train(spark.createDataFrame(train, "url string, allow boolean"), 3)
+    for share in (10**6, 5):  # nearly all keys are hot; nearly none
+        monkeypatch.setattr(U, "_HOT", share)
+        got = {r.url: r.score for r in U.ratio(spark.createDataFrame([(u,) for u in asked], "url string"), model, 3).collect()}
+        for u in asked:
+            assert got[u] == pytest.approx(slow_ratio(train, u, 3), abs=1e-9)
