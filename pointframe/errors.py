@@ -13,6 +13,10 @@ class CollectionParamsMissing(PointframeError):
     """A collection's description lacks its vector parameters."""
 
 
+class SnapshotConflict(PointframeError):
+    """Another writer has published a snapshot since this one was opened."""
+
+
 class InvalidSchema(PointframeError):
     """Vector names or sizes that can't make up a table."""
 

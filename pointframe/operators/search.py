@@ -109,6 +109,7 @@ def random_sample(collection: Collection, k: int, seed: int | None = None, where
 
 
 def _scores(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of every query (rows) against every point (columns), to within rounding."""
     if metric in (DOT, COSINE):
         s = q @ x.T
         if metric == COSINE:
@@ -120,62 +121,86 @@ def _scores(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
     return -np.stack([np.abs(x - row).sum(1) for row in q])
 
 
-def search_batch(collection: Collection, queries: DataFrame, k: int = 10, using: str | None = None, exclude_same_id: bool = False, max_local: int = 20_000, block: int = 2_000) -> DataFrame:
+def _exact(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of pairs, row by row: equal vectors have equal scores wherever they stand."""
+    if metric == COSINE:
+        return np.einsum("ij,ij->i", q, x) / (np.sqrt(np.einsum("ij,ij->i", q, q)) * np.sqrt(np.einsum("ij,ij->i", x, x)))
+    if metric == DOT:
+        return np.einsum("ij,ij->i", q, x)
+    return -(np.sqrt(((q - x) ** 2).sum(1)) if metric == EUCLID else np.abs(q - x).sum(1))
+
+
+def search_batch(collection: Collection, queries: DataFrame, k: int = 10, using: str | None = None, exclude_same_id: bool = False, max_bytes: int = 32 << 20, block: int = 256) -> DataFrame:
     """The k nearest points for every row of ``queries(query_id, vector)``: ``query_id, rank, id, score``.
 
-    Up to ``max_local`` queries go to every task with the code. More are dealt out in blocks of that many,
-    one pass over the points for each block. Queries or points without a vector of the column's
-    size have no rows. Ties go to the smaller id.
+    Query vectors of up to ``max_bytes`` go to every task with the code. More are dealt out in parts of that size,
+    one pass over the points for each. Queries or points without a vector of the column's size have no rows; queries
+    that share an id rank together. Ties go to the smaller id.
     """
     name, params = collection.config.resolve(using)
-    if params.multivector or params.distance == MANHATTAN and params.size > 4096:
+    if params.multivector:
         raise MalformedVector("batch search takes dense vectors")
     importable(collection.spark)
     queries = queries.where(F.col("query_id").isNotNull() & (F.size("vector") == params.size)).select("query_id", F.col("vector").cast("array<double>").alias("vector"))
     points = collection.df.where(F.size(name) == params.size).select("id", F.col(name).cast("array<double>").alias("v"))
-    blocks = max(1, -(-queries.count() // max_local))
-    if blocks > 1:
-        queries = queries.withColumn("__block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    parts = max(1, -(-queries.count() * params.size * 8 // max_bytes))
     id_type = queries.schema["query_id"].dataType.simpleString()
     found = None
-    for at in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.col("__block") == at)
-        table = part.select("query_id", "vector").toArrow()
-        ids = table.column("query_id").to_pylist()
-        q = np.array(table.column("vector").to_pylist(), float).reshape(len(ids), params.size)
-        keys = table.column("query_id").combine_chunks()
-        ours = points.mapInArrow(_best(ids, q, keys, k, params.distance, exclude_same_id, block), f"query_id {id_type}, id string, score double")
+    for at in range(parts):
+        table = (queries if parts == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == at)).toArrow()
+        q = np.array(table.column("vector").to_pylist(), float).reshape(table.num_rows, params.size)
+        ours = points.mapInArrow(_best(table.column("query_id").combine_chunks(), q, k, params.distance, exclude_same_id, block), f"query_id {id_type}, id string, score double")
         found = ours if found is None else found.unionByName(ours)
     ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
-def _best(ids: list, q: np.ndarray, keys: pa.Array, k: int, metric: str, exclude_same_id: bool, block: int):
-    """Arrow function: the k best points of each query in a partition."""
+def _first_k(query: np.ndarray, names: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best rows of each query: by score, then by name."""
+    order = np.lexsort((np.unique(names, return_inverse=True)[1], -score, query))
+    start = np.flatnonzero(np.r_[True, np.diff(query[order]) != 0])
+    rank = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
+    return order[rank < k]
+
+
+def _best(keys: pa.Array, q: np.ndarray, k: int, metric: str, exclude_same_id: bool, block: int):
+    """Arrow function: the k best points of each query in a partition; no more than those are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.array([str(i) for i in ids], object)
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        own = np.array([str(i) for i in keys.to_pylist()]) if exclude_same_id else None
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = limit = 0
         for b in batches:
             if not b.num_rows or not len(q):
                 continue
             names = np.array(b.column(0).to_pylist(), object)
             x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            m = min(k + exclude_same_id, len(x))
             for s in range(0, len(q), block):
                 scores = _scores(q[s : s + block], x, metric)
-                if exclude_same_id:
-                    scores[own[s : s + block, None] == names[None]] = np.nan
-                scores = np.where(np.isnan(scores), -np.inf, scores)
-                m = min(k, scores.shape[1])
+                scores[np.isnan(scores)] = -np.inf
                 floor = np.partition(scores, -m, axis=1)[:, -m]
-                for i in range(len(scores)):
-                    at = np.flatnonzero((scores[i] >= floor[i] - 1e-12) & (scores[i] > -np.inf))
-                    have = kept.get(s + i, (np.zeros(0), np.zeros(0, object)))
-                    all_s, all_n = np.r_[have[0], scores[i, at]], np.r_[have[1], names[at]]
-                    order = sorted(range(len(all_s)), key=lambda j: (-all_s[j], all_n[j]))[:k]
-                    kept[s + i] = all_s[order], all_n[order]
-        for i, (s, n) in kept.items():
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i].as_py()] * len(s), keys.type), pa.array(list(n), pa.string()), pa.array(s)], ["query_id", "id", "score"])
+                slack = np.where(np.isfinite(floor), 1e-9 * np.maximum(1.0, np.abs(floor)), 0)
+                i, j = np.nonzero((scores >= (floor - slack)[:, None]) & (scores > -np.inf))
+                if exclude_same_id:
+                    other = own[s + i] != names[j].astype(str)
+                    i, j = i[other], j[other]
+                exact = _exact(q[s + i], x[j], metric)
+                best = _first_k(i, names[j].astype(str), exact, k) if len(i) else np.zeros(0, int)
+                kept.append((s + i[best], names[j[best]], exact[best]))
+                held += len(best)
+            if held > limit:
+                kept = [_merged(kept, k)]
+                held = len(kept[0][0])
+                limit = 2 * held + 1_000_000
+        if kept:
+            i, names, score = _merged(kept, k)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(i, pa.int64())), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["query_id", "id", "score"])
 
     return run
 
+
+def _merged(kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    i, names, score = (np.concatenate(x) for x in zip(*kept, strict=True))
+    best = _first_k(i, names.astype(str), score, k) if len(i) else np.zeros(0, int)
+    return i[best], names[best], score[best]

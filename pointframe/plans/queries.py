@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -307,19 +310,31 @@ def json_nested(spark, sf):
     return c.select("id", J.json_get_str("payload", "address", "segment").alias("segment"), J.json_get_int("payload", "address", "nation").alias("nation")).where("nation > 10")
 
 
-@query("SELECT p_partkey AS id FROM part WHERE string_split(p_type, ' ')[1] = 'PROMO' OR list_contains(string_split(p_name || ' ' || p_brand, ' '), p_brand)")
+@query("SELECT p_partkey AS id FROM part WHERE list_contains(string_split(p_type, ' '), 'STANDARD') AND list_contains(string_split(p_name || ' ' || p_brand, ' '), p_brand)")
 def json_contains_all(spark, sf):
-    tags = F.to_json(F.split(F.concat_ws(" ", "p_name", "p_brand"), " "))
-    return _read(spark, sf, "part").where(J.json_contains_all(tags, F.to_json(F.array("p_brand")))).select(F.col("p_partkey").alias("id"))
+    """Parts whose tags (words of type, name and brand) hold both the brand and STANDARD."""
+    tags = F.to_json(F.split(F.concat_ws(" ", "p_type", "p_name", "p_brand"), " "))
+    return _read(spark, sf, "part").where(J.json_contains_all(tags, F.to_json(F.array(F.lit("STANDARD"), "p_brand")))).select(F.col("p_partkey").alias("id"))
+
+
+#: A payload of each kind of value, and of none, from customers; the SQL reads the table's own columns.
+_CUSTOMER = F.to_json(
+    F.struct(
+        F.struct(F.col("c_mktsegment").alias("name"), F.when(F.col("c_custkey") % 4 == 0, F.col("c_acctbal")).alias("balance"), (F.col("c_acctbal") > 0).alias("solvent")).alias("segment"),
+        F.array("c_nationkey", F.col("c_custkey") % 7).alias("codes"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).alias("alias"),
+    )
+)
 
 
-@query("""SELECT event_id AS id, json_extract_string(props, '$.k') AS as_text, CAST(NULL AS VARCHAR) AS as_str, CAST(json_extract_string(props, '$.k') AS BIGINT) AS as_int, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS as_float,
-    CAST(NULL AS BOOLEAN) AS as_bool, json_extract_string(props, '$.k') AS as_json, 1 AS length, 'k' AS keys FROM events""")
+@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS alias, CAST(NULL AS BIGINT) AS alias_int, c_mktsegment AS segment, CASE WHEN c_custkey % 4 = 0 THEN round(CAST(c_acctbal AS DOUBLE), 2) END AS balance, c_acctbal > 0 AS solvent,
+    CAST(c_custkey % 7 AS BIGINT) AS second_code, '"' || c_mktsegment || '"' AS raw, 2 AS n_codes, CASE WHEN c_custkey % 3 = 0 THEN 'segment,codes,alias' ELSE 'segment,codes' END AS keys FROM customer WHERE c_custkey % 3 = 0 OR c_acctbal > 0""")
 def json_getters(spark, sf):
-    p = "props"
-    return _read(spark, sf, "events").select(
-        F.col("event_id").alias("id"), J.json_as_text(p, "k").alias("as_text"), J.json_get_str(p, "k").alias("as_str"), J.json_get_int(p, "k").alias("as_int"), J.json_get_float(p, "k").alias("as_float"),
-        J.json_get_bool(p, "k").alias("as_bool"), J.json_get_json(p, "k").alias("as_json"), J.json_length(p).alias("length"), F.array_join(J.json_object_keys(p), ",").alias("keys"),
+    c = _read(spark, sf, "customer").withColumn("p", _CUSTOMER)
+    solvent = J.json_get_bool("p", "segment", "solvent")
+    return c.where(J.json_contains("p", "alias") | solvent).select(
+        F.col("c_custkey").alias("id"), J.json_as_text("p", "alias").alias("alias"), J.json_get_int("p", "alias").alias("alias_int"), J.json_get_str("p", "segment", "name").alias("segment"),
+        F.round(J.json_get_float("p", "segment", "balance"), 2).alias("balance"), solvent.alias("solvent"), J.json_get_int("p", "codes", 1).alias("second_code"),
+        J.json_get_json("p", "segment", "name").alias("raw"), J.json_length("p", "codes").alias("n_codes"), F.array_join(J.json_object_keys("p"), ",").alias("keys"),
     )
 
 
@@ -414,6 +429,127 @@ def sql_lateral(spark, sf):
     return dialect.sql(spark, text, points(spark, sf))
 
 
+def _floats(values: list[float]) -> str:
+    """A vector as a DuckDB list."""
+    return "[" + ", ".join(f"CAST({x!r} AS DOUBLE)" for x in values) + "]"
+
+
+# fixed query vectors, so that the SQL needs no lookups
+_Q16 = [[round(((i * 7 + j * 3) % 11 - 5) / 10, 1) for i in range(16)] for j in range(3)]
+_Q32 = [round(((i * 5) % 13 - 6) / 10, 1) for i in range(32)]
+_Q64 = [round(((i * 3) % 17 - 8) / 10, 1) for i in range(64)]
+_R64 = [round(((i * 11) % 7 - 3) / 10, 1) for i in range(64)]
+
+
+@query(_M + """, s AS (SELECT id, label, coalesce(list_sum(list_transform(range(1, len(words_indices) + 1), lambda i: words_values[i] * CASE words_indices[i] WHEN 2 THEN 0.6 WHEN 30 THEN 0.9 ELSE 0 END)), 0) AS x FROM m)
+    SELECT id, round(x, 6) AS score FROM s WHERE label < 7 AND x > 0 ORDER BY x DESC, id LIMIT 12""")
+def sql_sparse(spark, sf):
+    v = "V_SPARSE_SEARCH('words', [2, 30, 4000], [0.6, 0.9, 0.4])"
+    return dialect.sql(spark, f"SELECT id, round({v}, 6) AS score FROM mixed WHERE payload->'label' < 7 AND {v} > 0 ORDER BY {v} DESC, id LIMIT 12", mixed(spark, sf))
+
+
+_NEAR = f", n AS (SELECT id, label, image, 1 - list_cosine_similarity(text, {_floats(_Q32)}) AS near FROM m WHERE text IS NOT NULL)"
+
+
+@query(_M + _NEAR + f", f AS (SELECT id, near, list_distance(image, {_floats(_Q32)}) AS far FROM n WHERE image IS NOT NULL) SELECT id, round(near, 6) AS near, round(far, 6) AS far FROM f WHERE near < 0.9 AND far > 1")
+def sql_distance(spark, sf):
+    a, b = f"V_DISTANCE('text', {_Q32})", f"V_DISTANCE('image', {_Q32}, 'euclid')"
+    return dialect.sql(spark, f"SELECT id, round({a}, 6) AS near, round({b}, 6) AS far FROM mixed WHERE {a} < 0.9 AND {b} > 1", mixed(spark, sf))
+
+
+@query(_M + _NEAR + " SELECT label, count(*) AS n FROM n WHERE near <= 0.95 GROUP BY label HAVING count(*) > 1")
+def sql_within(spark, sf):
+    return dialect.sql(spark, f"SELECT CAST(payload->'label' AS INT) AS label, COUNT(*) AS n FROM mixed WHERE V_WITHIN('text', {_Q32}, 0.95) GROUP BY payload->'label' HAVING COUNT(*) > 1", mixed(spark, sf))
+
+
+_SIM16 = " + ".join("greatest(" + ", ".join(f"list_inner_product({_floats(q)}, v[{b * 16 + 1}:{b * 16 + 16}])" for b in range(4)) + ")" for q in _Q16)
+
+
+@query(_M + f""", f AS (SELECT * FROM m WHERE image IS NOT NULL ORDER BY list_inner_product(image, {_floats(_Q32)}) DESC, id LIMIT 60), s AS (SELECT id, {_SIM16} AS x FROM f WHERE vec_id % 5 <> 0)
+    SELECT id, round(x, 6) AS score FROM s ORDER BY x DESC, id LIMIT 9""")
+def sql_colbert(spark, sf):
+    v = f"V_COLBERT('parts', {_Q16})"
+    text = f"WITH f AS (SELECT * FROM mixed ORDER BY V_SEARCH('image', {_Q32}) DESC NULLS LAST, id LIMIT 60) SELECT id, round({v}, 6) AS score FROM f WHERE {v} IS NOT NULL ORDER BY {v} DESC, id LIMIT 9"
+    return dialect.sql(spark, text, mixed(spark, sf))
+
+
+@query(_P + f""", s AS (SELECT id, list_cosine_similarity(v, {_floats(_Q64)}) + 0.4 * list_cosine_similarity(v, (SELECT v FROM p WHERE id = '6')) + 0.2 * list_cosine_similarity(v, (SELECT v FROM p WHERE id = '9')) AS x FROM p WHERE id NOT IN ('6', '9'))
+    SELECT id, round(x, 6) AS score FROM s ORDER BY x DESC, id LIMIT 15""")
+def sql_discover(spark, sf):
+    text = f"WITH d AS (SELECT id, V_DISCOVER({_Q64}, [['6', 0.4], ['9', 0.2]]) AS x FROM points) SELECT id, round(x, 6) AS score FROM d WHERE x IS NOT NULL ORDER BY x DESC, id LIMIT 15"
+    return dialect.sql(spark, text, points(spark, sf))
+
+
+_FUSED = f""", a AS (SELECT id, row_number() OVER (ORDER BY list_cosine_similarity(v, {_floats(_Q64)}) DESC, id) AS r FROM p), b AS (SELECT id, row_number() OVER (ORDER BY list_inner_product(v, {_floats(_R64)}) DESC, id) AS r FROM p)"""
+
+
+def _lists_sql(n: int) -> str:
+    return f"WITH a AS (SELECT id, V_SEARCH({_Q64}) AS x FROM points ORDER BY x DESC, id LIMIT {n}), b AS (SELECT id, -V_DISTANCE({_R64}, 'dot') AS x FROM points ORDER BY x DESC, id LIMIT {n})"
+
+
+@query(_P + _FUSED + " SELECT id, round(1.0 / (60 + a.r) + 1.0 / (60 + b.r), 6) AS score FROM a JOIN b USING (id) WHERE a.r <= 150 AND b.r <= 150 ORDER BY 1.0 / (60 + a.r) + 1.0 / (60 + b.r) DESC, id LIMIT 10")
+def sql_fusion(spark, sf):
+    text = _lists_sql(150) + " SELECT c.id, round(V_FUSION([a.x, b.x], 'rrf'), 6) AS score FROM points c JOIN a ON c.id = a.id JOIN b ON c.id = b.id ORDER BY V_FUSION([a.x, b.x], 'rrf') DESC, c.id LIMIT 10"
+    return dialect.sql(spark, text, points(spark, sf))
+
+
+@query(_P + _FUSED + """, s AS (SELECT p.id, p.label, (1.0 / (60 + a.r) + 1.0 / (60 + b.r)) * CASE WHEN p.label = 2 THEN 1.3 ELSE 1.0 END AS x FROM p JOIN a USING (id) JOIN b USING (id) WHERE a.r <= 300 AND b.r <= 300 AND p.label <> 5)
+    SELECT id, label, round(x, 6) AS score FROM s ORDER BY x DESC, id LIMIT 10""")
+def sql_composite(spark, sf):
+    text = _lists_sql(300) + """, s AS (SELECT c.id, CAST(c.payload->'label' AS INT) AS label, V_FUSION([a.x, b.x]) * CASE WHEN c.payload->'label' = 2 THEN 1.3 ELSE 1.0 END AS x
+        FROM points c JOIN a ON c.id = a.id JOIN b ON c.id = b.id WHERE c.payload->'label' <> 5) SELECT id, label, round(x, 6) AS score FROM s ORDER BY x DESC, id LIMIT 10"""
+    return dialect.sql(spark, text, points(spark, sf))
+
+
+def _payloads(df: DataFrame, key: str, payload, name: str) -> Collection:
+    """A collection without vectors."""
+    return Collection.from_frame(df.select(F.col(key).cast("string").alias("id"), payload.alias("payload")), CollectionConfig(None), name)
+
+
+@query("""WITH g AS (SELECT CAST(c_custkey AS VARCHAR) AS id, 40 + (c_custkey % 83) / 10.0 AS lat, 2 + (c_custkey % 71) / 10.0 AS lon FROM customer),
+    d AS (SELECT id, 2 * 6371000.0 * asin(least(1.0, sqrt(power(sin((radians(45.75) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(45.75)) * power(sin((radians(4.85) - radians(lon)) / 2), 2)))) AS metres FROM g)
+    SELECT id, round(exp(ln(0.5) * power(metres / 30000, 2)), 5) AS score FROM d WHERE metres < 90000""")
+def sql_geo(spark, sf):
+    place = F.struct((40 + (F.col("c_custkey") % 83) / 10).alias("lat"), (2 + (F.col("c_custkey") % 71) / 10).alias("lon"))
+    shops = _payloads(_read(spark, sf, "customer"), "c_custkey", F.to_json(F.struct(F.struct(place.alias("place")).alias("shop"))), "shops")
+    d = "V_GEO_DISTANCE(payload->'shop'->'place', POINT(45.75, 4.85))"
+    return dialect.sql(spark, f"SELECT id, round(V_GAUSS_DECAY({d}, 30000), 5) AS score FROM shops WHERE {d} < 90000", shops)
+
+
+@query(r"""WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w FROM documents), s AS (SELECT doc_id, len(list_intersect(w, ['the', 'und', 'people'])) / 3.0 AS x FROM t)
+    SELECT CAST(doc_id AS VARCHAR) AS id, round(x, 6) AS score FROM s WHERE x > 0.3""")
+def sql_match(spark, sf):
+    docs = _payloads(_read(spark, sf, "documents"), "doc_id", F.to_json(F.struct(F.struct("text").alias("body"))), "docs")
+    v = "MATCH_TEXT(payload->'body'->'text', 'the UND people')"
+    return dialect.sql(spark, f"SELECT id, round({v}, 6) AS score FROM docs WHERE {v} > 0.3", docs)
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 = 0")
+def sql_has_field(spark, sf):
+    c = _payloads(_read(spark, sf, "customer"), "c_custkey", _CUSTOMER, "people")
+    return dialect.sql(spark, "SELECT id FROM people WHERE HAS_FIELD(payload, 'alias') = false AND payload->'segment' ? 'balance'", c)
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS second FROM part WHERE p_type = 'STANDARD' AND p_brand <> 'Brand#1'")
+def sql_contains(spark, sf):
+    parts = _payloads(_read(spark, sf, "part"), "p_partkey", F.to_json(F.struct(F.struct(F.array("p_type", "p_brand").alias("words")).alias("kind"))), "parts")
+    return dialect.sql(spark, """SELECT id, (payload->'kind')->'words'->1 AS second FROM parts WHERE payload->'kind'->'words' @> '["STANDARD"]' AND NOT payload->'kind'->'words' @> '["Brand#1"]'""", parts)
+
+
+@query(_P + """ SELECT id, CASE WHEN label >= 8 THEN '{"label":-1}' ELSE payload END AS payload, len(v) AS dims FROM p WHERE label <> 4 UNION ALL SELECT 'new', '{"label":99}', 64""")
+def upsert_stored(spark, sf):
+    """A stored collection: all points, a change, a new point and a deletion, each published as a snapshot."""
+    c = points(spark, sf)
+    label = J.json_get_int("payload", "label")
+    # the session's shared folder, where it has one
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pointframe-")).rstrip("/")
+    stored = Collection.create(spark, f"{folder}/upsert-stored-{uuid.uuid4().hex}", c.config, buckets=4).upsert(c.df)
+    changed = c.df.where(label >= 8).withColumn("payload", F.lit('{"label":-1}'))
+    added = c.df.orderBy("id").limit(1).select(F.lit("new").alias("id"), F.lit('{"label":99}').alias("payload"), "vector")
+    stored = stored.upsert(changed.unionByName(added)).delete(c.df.where(label == 4).select("id"))
+    return stored.df.select("id", "payload", F.size("vector").alias("dims"))
+
+
 # -- not a question for SQL
 
 

@@ -2,25 +2,30 @@
 
 Layout of a stored collection::
 
-    <path>/collection.json     description
-    <path>/snapshots/<n>.json  for each bucket of ids, the folder that holds its rows
-    <path>/data/<n>/bucket=<b>/...parquet
-
-An upsert rewrites only the buckets that it touches, into folders of its own, and then publishes a new
-snapshot; a reader keeps the snapshot that it opened. One column for each vector means that Spark
-reads just the vectors a query asks for.
+    <path>/collection.json        description
+    <path>/snapshots/<n>.json     for each bucket of ids, the folder that holds its rows
+    <path>/data/<write>/bucket=<b>/...parquet
+
+A write reads and rewrites only the buckets that it touches, into a folder that no other write uses, and then
+publishes snapshot n + 1 by creating a file that must not exist yet. Of two writers that started from one
+snapshot the second raises ``SnapshotConflict`` and leaves no trace; what has been published never changes. A
+reader keeps the snapshot that it opened. One column for each vector means that Spark reads just the vectors a
+query asks for.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import CollectionNotFound, InvalidSchema, MalformedVector
+from ..errors import CollectionNotFound, InvalidSchema, SnapshotConflict
+from ..workers import importable
 from .config import CollectionConfig
 from .ingest import with_metadata
 
@@ -44,14 +49,39 @@ class _Files:
         finally:
             stream.close()
 
-    def write(self, path: str, text: str) -> None:
-        """Write beside the target and rename; an existing target raises."""
-        part = self._path(path + ".part")
-        stream = self._fs.create(part, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        if not self._fs.rename(part, self._path(path)):
-            raise MalformedVector(f"another writer has published {path}")
+    def publish(self, path: str, text: str) -> None:
+        """Create a file with its whole text at once; raises ``SnapshotConflict`` where there is one already.
+
+        Local files are hard-linked into place, object stores create conditionally, and others (HDFS) rename
+        without overwriting: each refuses an existing file in one atomic step.
+        """
+        scheme, target = self._fs.getScheme(), self._path(path)
+        whole = scheme in ("s3", "s3a", "gs")
+        part = target if whole else self._path(f"{path}.{uuid.uuid4().hex}.part")
+        try:
+            made = self._fs.createFile(part).overwrite(False)
+            stream = (made.opt("fs.option.create.conditional.overwrite", True) if whole else made).recursive().build()
+            stream.write(bytearray(text.encode()))
+            stream.close()
+            if scheme == "file":
+                as_file = lambda p: self._jvm.java.io.File(p.toUri().getPath()).toPath()
+                self._jvm.java.nio.file.Files.createLink(as_file(target), as_file(part))
+            elif not whole:
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+                none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                options = self._jvm.java.lang.reflect.Array.newInstance(none.getClass(), 1)
+                options[0] = none
+                context.rename(part, target, options)
+        except Py4JJavaError as e:
+            if self._fs.exists(target):
+                raise SnapshotConflict(f"another writer has published {path}") from e
+            raise
+        finally:
+            if not whole:
+                self._fs.delete(part, False)
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
 
     def names(self, path: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))] if self.exists(path) else []
@@ -73,8 +103,8 @@ class Collection:
         if files.exists(f"{path}/collection.json"):
             raise InvalidSchema(f"there is a collection at {path} already")
         about = json.loads(config.to_json()) | {"buckets": buckets}
-        files.write(f"{path}/collection.json", json.dumps(about))
-        files.write(f"{path}/snapshots/0.json", "{}")
+        files.publish(f"{path}/collection.json", json.dumps(about))
+        files.publish(f"{path}/snapshots/0.json", "{}")
         return cls.open(spark, path)
 
     @classmethod
@@ -86,7 +116,7 @@ class Collection:
         text = files.read(f"{path}/collection.json")
         config = CollectionConfig.from_json(text)
         if snapshot is None:
-            snapshot = max(int(n.removesuffix(".json")) for n in files.names(f"{path}/snapshots") if n.endswith(".json") and not n.startswith("."))
+            snapshot = max(int(n.removesuffix(".json")) for n in files.names(f"{path}/snapshots") if n.removesuffix(".json").isdigit())
         folders = json.loads(files.read(f"{path}/snapshots/{snapshot}.json"))
         schema = config.schema()
         if folders:
@@ -112,6 +142,11 @@ class Collection:
     def schema(self):
         return self._df.schema
 
+    @property
+    def table_type(self) -> str:
+        """A collection is a base table: neither a view nor temporary."""
+        return "BASE"
+
     def select(self, *columns: str) -> DataFrame:
         """A projection in the order asked for; no columns mean all."""
         return self._df.select(*columns) if columns else self._df
@@ -123,18 +158,23 @@ class Collection:
         return view
 
     def batches(self, max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
-        """Arrow batches, pulled one partition at a time."""
-        rows, schema = [], None
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        schema = to_arrow_schema(self._df.schema)
-        for row in self._df.toLocalIterator():
-            rows.append(row.asDict())
-            if len(rows) == max_rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-                rows = []
-        if rows or schema is not None:
-            yield pa.RecordBatch.from_pylist(rows, schema)
+        """Arrow batches of at most ``max_rows``, pulled one partition at a time; an empty table gives one empty batch."""
+        importable(self.spark)
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, max_rows):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, b.schema) as out:
+                        out.write_batch(b.slice(at, max_rows))
+                    yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch"])
+
+        none = True
+        for row in self._df.mapInArrow(packed, "batch binary").toLocalIterator():
+            none = False
+            yield pa.ipc.open_stream(row[0]).read_next_batch()
+        if none:
+            yield from self._df.limit(0).toArrow().to_batches() or [pa.RecordBatch.from_pylist([], self._df.limit(0).toArrow().schema)]
 
     def describe(self, limit: int | None = None, columns: list[str] | None = None) -> str:
         """One line on a scan: collection, vectors that it reads, limit."""
@@ -152,29 +192,52 @@ class Collection:
     def _bucket(self, buckets: int):
         return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
 
-    def upsert(self, points: DataFrame) -> Collection:
+    def upsert(self, points: DataFrame, retries: int = 0) -> Collection:
         """Insert points, replacing those with the same ids; returns the collection with its new snapshot.
 
         Null ids raise. Of points that repeat an id within ``points`` any one may stay. Only touched
-        buckets are read and rewritten.
+        buckets are read and rewritten. Another writer's snapshot in between raises ``SnapshotConflict``;
+        ``retries`` start over from the newest snapshot so many times before that.
         """
-        new = with_metadata(points, self.config)
-        new = new.withColumn("id", F.coalesce("id", F.raise_error(F.lit("a point has no id")).cast("string"))).dropDuplicates(["id"])
+        new = self._checked(points)
         if self.path is None:
             kept = self._df.join(new.select("id"), "id", "left_anti").select(*new.columns)
             return Collection(self.spark, self.config, with_metadata(kept.unionByName(new), self.config), self.name)
-        return self._rewrite(new.select("id"), new)
+        return self._retried(retries, lambda c: c._rewrite(new.select("id"), new))
 
-    def delete(self, ids: DataFrame) -> Collection:
+    def delete(self, ids: DataFrame, retries: int = 0) -> Collection:
         """Remove the points whose ``id`` is in ``ids``."""
         if self.path is None:
             return Collection(self.spark, self.config, self._df.join(ids.select("id"), "id", "left_anti").select(*self._df.columns), self.name)
-        return self._rewrite(ids.select("id"), None)
+        return self._retried(retries, lambda c: c._rewrite(ids.select("id"), None))
+
+    def overwrite(self, points: DataFrame) -> Collection:
+        """All points replaced by the given ones; earlier snapshots keep theirs."""
+        new = self._checked(points)
+        if self.path is None:
+            return Collection(self.spark, self.config, with_metadata(new, self.config), self.name)
+        return self._publish([new], {}, self._buckets())
+
+    def _checked(self, points: DataFrame) -> DataFrame:
+        new = with_metadata(points, self.config)
+        return new.withColumn("id", F.coalesce("id", F.raise_error(F.lit("a point has no id")).cast("string"))).dropDuplicates(["id"])
+
+    def _retried(self, retries: int, write) -> Collection:
+        at = self
+        while True:
+            try:
+                return write(at)
+            except SnapshotConflict:
+                if not retries:
+                    raise
+                retries, at = retries - 1, Collection.open(self.spark, self.path)
+
+    def _buckets(self) -> int:
+        return json.loads(_Files(self.spark, self.path).read(f"{self.path}/collection.json"))["buckets"]
 
     def _rewrite(self, gone: DataFrame, new: DataFrame | None) -> Collection:
-        files = _Files(self.spark, self.path)
-        buckets = json.loads(files.read(f"{self.path}/collection.json"))["buckets"]
-        folders = json.loads(files.read(f"{self.path}/snapshots/{self.snapshot}.json"))
+        buckets = self._buckets()
+        folders = json.loads(_Files(self.spark, self.path).read(f"{self.path}/snapshots/{self.snapshot}.json"))
         touched = sorted(r.b for r in gone.select(self._bucket(buckets).alias("b")).distinct().collect())
         old = [folders[str(b)] for b in touched if str(b) in folders]
         parts = []
@@ -183,11 +246,19 @@ class Collection:
             parts.append(rows.join(gone, "id", "left_anti").select(*self.config.schema().names))
         if new is not None:
             parts.append(new)
-        at = self.snapshot + 1
-        for i, part in enumerate(parts):
-            out = part.withColumn("bucket", self._bucket(buckets)).hint("rebalance", "bucket")
-            out.write.mode("append" if i else "overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{at}")
-        written = {n.partition("=")[2] for n in files.names(f"{self.path}/data/{at}") if n.startswith("bucket=")}
-        folders = {b: f for b, f in folders.items() if int(b) not in touched} | {b: f"data/{at}/bucket={b}" for b in written}
-        files.write(f"{self.path}/snapshots/{at}.json", json.dumps(folders))
+        return self._publish(parts, {b: f for b, f in folders.items() if int(b) not in touched}, buckets)
+
+    def _publish(self, parts: list[DataFrame], kept: dict[str, str], buckets: int) -> Collection:
+        """Write ``parts`` into a folder of their own and publish them with the ``kept`` folders."""
+        files, at = _Files(self.spark, self.path), self.snapshot + 1
+        folder = f"data/{at}-{uuid.uuid4().hex}"
+        try:
+            for part in parts:
+                out = part.withColumn("bucket", self._bucket(buckets)).hint("rebalance", "bucket")
+                out.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            written = {n.partition("=")[2] for n in files.names(f"{self.path}/{folder}") if n.startswith("bucket=")}
+            files.publish(f"{self.path}/snapshots/{at}.json", json.dumps(kept | {b: f"{folder}/bucket={b}" for b in written}))
+        except Exception:
+            files.delete(f"{self.path}/{folder}")
+            raise
         return Collection.open(self.spark, self.path, at)

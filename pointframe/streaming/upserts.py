@@ -18,7 +18,7 @@ def upsert_stream(points: DataFrame, collection: Collection, checkpoint: str, av
         raise ValueError("a stream needs a stored collection")
 
     def batch(df: DataFrame, _: int) -> None:
-        Collection.open(spark, path).upsert(df)
+        Collection.open(spark, path).upsert(df, retries=3)
 
     writer = points.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).outputMode("append")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

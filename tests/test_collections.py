@@ -14,17 +14,15 @@ from pointframe.sources import ingest
 from pointframe.sources.config import payload_selector, vector_selector
 from pointframe.streaming.upserts import upsert_stream
 
+# bird recordings: a pitch and a tempo curve, a spectrum, a place, calls and species notes, none of them on every point
 MIXED = pf.CollectionConfig(
-    {
-        "test_embedding": pf.VectorParams(2), "text_embedding": pf.VectorParams(3), "image_embedding": pf.VectorParams(4, "dot"),
-        "audio_embedding": pf.VectorParams(2, "euclid"), "multi_embeddings": pf.VectorParams(2, "dot", multivector=True),
-    },
-    ("keywords",),
-)
+    {"pitch": pf.VectorParams(3), "tempo": pf.VectorParams(2, "manhattan"), "spectrum": pf.VectorParams(5, "dot"), "place": pf.VectorParams(2, "euclid"), "calls": pf.VectorParams(4, "dot", multivector=True)},
+    ("notes",),
+)
 POINTS = [
-    {"id": 1, "payload": {"title": "Point 1"}, "test_embedding": [0.1, 0.2], "multi_embeddings": [[0.7, 0.8], [0.9, 0.1]], "keywords": ([0, 5], [0.1, 0.9])},
-    {"id": 2, "payload": {"title": "Point 2"}, "text_embedding": [0.3, 0.4, 0.5], "image_embedding": [0.6, 0.7, 0.8, 0.9], "keywords": ([1, 3], [0.7, 0.4])},
-    {"id": 3, "payload": {"title": "Point 3"}, "text_embedding": [0.11, 0.12, 0.13], "audio_embedding": [0.14, 0.15], "keywords": ([2, 4, 6], [0.2, 0.6, 0.8])},
+    {"id": 40, "payload": {"bird": "wren"}, "pitch": [2.5, -1.0, 0.25], "place": [47.5, 8.25], "notes": ([7, 300], [1.25, -0.5])},
+    {"id": 41, "payload": {"bird": "robin"}, "spectrum": [0.5, 0.0, 1.5, 2.0, -3.0], "calls": [[1.0, 0.0, 0.5, 0.5], [0.0, 2.0, 0.0, 1.0], [4.0, 4.0, 4.0, 4.0]], "notes": ([0], [2.0])},
+    {"id": 42, "payload": {"bird": "kite"}, "pitch": [0.0, 1.0, 1.0], "tempo": [96.0, 104.5], "calls": [[0.25, 0.25, 0.25, 0.25]], "notes": ([3, 5, 8, 13], [0.5, 0.25, 0.125, 4.0])},
 ]
 
 
@@ -39,10 +37,10 @@ def near(a, b):
 
 def test_schema_names_types_and_metadata(mixed):
     s = mixed.schema
-    assert s.names == ["id", "payload", "test_embedding", "text_embedding", "image_embedding", "audio_embedding", "multi_embeddings", "keywords_indices", "keywords_values"]
-    assert s["keywords_indices"].dataType == T.ArrayType(T.LongType())
-    assert s["multi_embeddings"].dataType == T.ArrayType(T.ArrayType(T.FloatType()))
-    assert s["audio_embedding"].metadata == {"kind": "dense", "size": 2, "distance": "euclid"}
+    assert s.names == ["id", "payload", "pitch", "tempo", "spectrum", "place", "calls", "notes_indices", "notes_values"]
+    assert s["notes_indices"].dataType == T.ArrayType(T.LongType())
+    assert s["calls"].dataType == T.ArrayType(T.ArrayType(T.FloatType()))
+    assert s["place"].metadata == {"kind": "dense", "size": 2, "distance": "euclid"}
     assert pf.CollectionConfig.from_schema(s).dense == {n: p for n, p in MIXED.dense.items()}
     assert pf.CollectionConfig.from_json(MIXED.to_json()) == MIXED
     assert pf.CollectionConfig().schema().names == ["id", "payload"]
@@ -50,20 +48,20 @@ def test_schema_names_types_and_metadata(mixed):
 
 def test_missing_vectors_are_null_and_values_are_kept(mixed):
     got = {r.id: r for r in mixed.df.collect()}
-    assert json.loads(got["1"].payload) == {"title": "Point 1"}
+    assert json.loads(got["40"].payload) == {"bird": "wren"}
     for want in POINTS:
         r = got[str(want["id"])]
-        for name in ("test_embedding", "text_embedding", "image_embedding", "audio_embedding"):
+        for name in ("pitch", "tempo", "spectrum", "place"):
             assert near(r[name], want.get(name))
-        assert list(r.keywords_indices) == want["keywords"][0] and near(r.keywords_values, want["keywords"][1])
-    assert got["2"].multi_embeddings is None and near(got["1"].multi_embeddings[1], [0.9, 0.1])
+        assert list(r.notes_indices) == want["notes"][0] and near(r.notes_values, want["notes"][1])
+    assert got["40"].calls is None and near(got["41"].calls[1], [0.0, 2.0, 0.0, 1.0])
 
 
 @pytest.mark.parametrize(
     ("columns", "selected"),
     [
-        (["text_embedding"], ["text_embedding"]), (["keywords_indices", "keywords_values"], ["keywords"]), (["test_embedding", "image_embedding"], ["test_embedding", "image_embedding"]),
-        (["text_embedding", "keywords_indices"], ["text_embedding", "keywords"]), (["id", "payload"], "none"), (["audio_embedding"], ["audio_embedding"]),
+        (["pitch"], ["pitch"]), (["notes_indices", "notes_values"], ["notes"]), (["place", "spectrum"], ["spectrum", "place"]),
+        (["calls", "notes_values"], ["calls", "notes"]), (["id", "payload"], "none"), (["tempo"], ["tempo"]),
     ],
 )
 def test_projections_read_only_their_columns(spark, mixed, tmp_path, columns, selected):
@@ -78,7 +76,7 @@ def test_projections_read_only_their_columns(spark, mixed, tmp_path, columns, se
 
 def test_unnamed_collection_projection_and_limit(spark):
     config = pf.CollectionConfig(pf.VectorParams(3))
-    c = pf.Collection.from_frame(pf.points(spark, [{"id": i, "payload": {"title": f"Unnamed Point {i}"}, "vector": [i / 10, 0.2, 0.3]} for i in (1, 2, 3)], config), config, "unnamed")
+    c = pf.Collection.from_frame(pf.points(spark, [{"id": i, "payload": {"nr": i}, "vector": [i, i * i, 1]} for i in (4, 5, 6)], config), config, "unnamed")
     view = c.register("any_name")
     assert spark.catalog.getTable(view).tableType == "TEMPORARY"
     assert spark.sql("SELECT * FROM any_name").columns == ["id", "payload", "vector"]
@@ -88,7 +86,12 @@ def test_unnamed_collection_projection_and_limit(spark):
     assert payload_selector(["payload", "id"]) and not payload_selector(["id"])
     assert c.describe(limit=5) == "PointScan: collection=unnamed, vectors=all, payload=True, limit=5"
     assert "unnamed" in repr(c)
-    assert sum(b.num_rows for b in c.batches(2)) == 3
+    assert c.table_type == "BASE"
+    for size in (1, 2, 3, 50):
+        pulled = list(c.batches(size))
+        assert sum(b.num_rows for b in pulled) == 3 and all(0 < b.num_rows <= size for b in pulled) and pulled[0].schema.names == ["id", "payload", "vector"]
+    empty = list(pf.Collection.from_frame(c.df.limit(0), config).batches())
+    assert [b.num_rows for b in empty] == [0] and empty[0].schema.names == ["id", "payload", "vector"]
 
 
 def test_more_than_ten_points_without_limit_and_text_order(spark):
@@ -185,6 +188,59 @@ def test_upsert_delete_and_snapshots(spark, tmp_path):
         one.upsert(spark.createDataFrame([(None, None, [1.0, 2.0])], "id string, payload string, vector array<float>"))
 
 
+def files_below(path):
+    return {str(p.relative_to(path)): p.read_bytes() for p in sorted(path.rglob("*")) if p.is_file()}
+
+
+def test_a_losing_writer_changes_nothing(spark, tmp_path):
+    config = pf.CollectionConfig(pf.VectorParams(2))
+    make = lambda name: pf.points(spark, [{"id": i, "payload": {"by": name}, "vector": [1.0, 2.0]} for i in range(8)], config)
+    start = pf.Collection.create(spark, str(tmp_path / "c"), config, buckets=3)
+    other = pf.Collection.open(spark, str(tmp_path / "c"))
+    won = start.upsert(make("first"))
+    published = files_below(tmp_path / "c")
+    with pytest.raises(pf.SnapshotConflict):
+        other.upsert(make("second"))
+    with pytest.raises(pf.SnapshotConflict):
+        other.delete(make("x").select("id"))
+    with pytest.raises(pf.SnapshotConflict):
+        other.overwrite(make("x"))
+    assert files_below(tmp_path / "c") == published
+    assert {json.loads(r.payload)["by"] for r in pf.Collection.open(spark, str(tmp_path / "c")).df.collect()} == {"first"}
+    # a retry starts over from what the winner published
+    again = other.upsert(make("third").where("id < '4'"), retries=1)
+    assert again.snapshot == 2 and sorted(json.loads(r.payload)["by"] for r in again.df.collect()) == ["first"] * 4 + ["third"] * 4
+    assert {json.loads(r.payload)["by"] for r in won.df.collect()} == {"first"}
+
+
+def test_a_failed_write_leaves_no_folder_and_can_be_repeated(spark, tmp_path, monkeypatch):
+    from pointframe.sources import collection as module
+
+    config = pf.CollectionConfig(pf.VectorParams(2))
+    c = pf.Collection.create(spark, str(tmp_path / "c"), config, buckets=3).upsert(pf.points(spark, [{"id": 1, "vector": [1.0, 2.0]}], config))
+    before = files_below(tmp_path / "c")
+    more = pf.points(spark, [{"id": 2, "vector": [3.0, 4.0]}], config)
+    with monkeypatch.context() as m:
+        m.setattr(module._Files, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            c.upsert(more)
+    assert files_below(tmp_path / "c") == before
+    assert c.upsert(more).df.count() == 2
+    bad = spark.createDataFrame([("3", None, None), (None, None, None)], "id string, payload string, vector array<float>")
+    with pytest.raises(Exception, match="a point has no id"):
+        pf.Collection.open(spark, str(tmp_path / "c")).upsert(bad)
+
+
+def test_publishing_beside_a_store_without_links(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.depot.link./in", f"file://{tmp_path}")
+    config = pf.CollectionConfig(pf.VectorParams(1))
+    c = pf.Collection.create(spark, "viewfs://depot/in/c", config, buckets=2)
+    row = pf.points(spark, [{"id": 1, "vector": [1.0]}], config)
+    assert c.upsert(row).df.count() == 1
+    with pytest.raises(pf.SnapshotConflict):
+        c.upsert(row)
+
+
 def test_stream_upsert(spark, tmp_path):
     config = pf.CollectionConfig(pf.VectorParams(2))
     c = pf.Collection.create(spark, str(tmp_path / "c"), config, buckets=2)
@@ -225,7 +281,7 @@ def test_null_and_odd_vectors_never_score(spark):
     asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0]), (3, None)], "query_id long, vector array<float>")
     got = pf.search_batch(c, asked, 3).collect()
     assert [(r.query_id, r.id) for r in got] == [(1, "a"), (1, "f")]
-    many = pf.search_batch(c, asked.unionByName(asked.withColumn("query_id", F.col("query_id") + 10)), 1, max_local=1).collect()
+    many = pf.search_batch(c, asked.unionByName(asked.withColumn("query_id", F.col("query_id") + 10)), 1, max_bytes=20).collect()
     assert sorted((r.query_id, r.id) for r in many) == [(1, "a"), (11, "a")]
     assert pf.recommend(c, ["nobody"]).count() == 0
     assert [r.id for r in pf.search_by_id(c, "a", 5).collect()] == ["f"]
