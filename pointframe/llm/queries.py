@@ -56,7 +56,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, capacity=1024, with_ids=False)
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, capacity=1024)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_embedding_dedup, op4_sharding, op5_bpe, op6_toxicity, op7_url_filter, op8_ann, op9_pii, op10_packing)}
