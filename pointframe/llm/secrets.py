@@ -24,22 +24,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# kind and pattern; a group 's' holds the secret: fixed values
+# kind and pattern; a group 's' or 's2' holds the secret: fixed values. Every repeat is bounded, possessive or begins
+# where its run of characters begins, so a scan takes linear time whatever the text.
 KINDS = [
-    ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s\\:,.-]+?-----END (?:[A-Z]+ )*PRIVATE KEY-----"),
+    ("private_key", r"-----BEGIN (?:[A-Z]{1,20} ){0,8}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s\\:,.]|-(?!----))++-----END (?:[A-Z]{1,20} ){0,8}PRIVATE KEY-----"),
     ("aws_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("github_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{30,})"),
     ("slack_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     ("google_key", r"\bAIza[0-9A-Za-z_-]{35}"),
     ("stripe_key", r"\b[sr]k_(?:live|test)_[0-9A-Za-z]{16,}"),
-    ("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    ("assigned", r"(?i:\b[\w-]*(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credential)[\w-]*)[\"']?\s*(?::=|=>|[:=])\s*[\"']?(?P<s>[^\s\"'<>(){}\[\],;]{8,})"),
-    ("opaque", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])(?P<s2>[A-Za-z0-9+/_-]{20,}={0,2})"),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
+    ("assigned", r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential)[\w-]{0,64}[\"']?\s{0,16}+(?::=|=>|[:=])\s{0,16}+[\"']?(?P<s>[^\s\"'<>(){}\[\],;]{8,})"),
+    ("opaque", r"(?<![A-Za-z0-9+/_=-])(?P<s2>[A-Za-z0-9+/_-]{20,}+={0,2})"),
 ]
 _SCAN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(KINDS)))
-# every pattern needs one of these; most texts have none
-_HINT = re.compile(r"[0-9:=_]|-----BEGIN|A[KS]IA|AIza|xox|eyJ")
+# every candidate holds one of these; most texts hold none
+_HINT = re.compile(r"[0-9:=_]|-----BEGIN|A[KS]IA|AIza|xox|eyJ|[a-z][A-Z]")
 _FORMATS = 7  # kinds before this one are formats of their own
+# an opaque string is a candidate if it holds a digit or changes from small to capital letters so often
+_MIXED = re.compile(r"[0-9]|(?:[a-z][^a-z]{0,8}?[A-Z].{0,16}?){3}", re.S)
 
 # words for dictionary coverage: fixed values
 DICTIONARY = """about account action admin after again api app application array base before build button cache change
@@ -56,7 +59,21 @@ DICTIONARY = """about account action admin after again api app application array
     start state static status store stream string style system table target task temp template test text theme time
     title token tool total tree true type update upload user util value version video view web width window word world
     write your""".split()
-_WORDS = frozenset(w for w in DICTIONARY if len(w) >= 3)
+
+
+def _longest_first(words: list[str]) -> str:
+    """A pattern that matches the longest of the words at a place, by their common beginnings."""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        by.setdefault(w[0], []).append(w[1:])
+    parts = []
+    for c, rests in sorted(by.items()):
+        longer = [r for r in rests if r]
+        parts.append(re.escape(c) + (f"(?:{_longest_first(longer)})" + "?" * ("" in rests) if longer else ""))
+    return "|".join(parts)
+
+
+_WORDS = re.compile(_longest_first([w for w in DICTIONARY if len(w) >= 3]))
 _SECRET_NEAR = re.compile(r"(?i)token|secret|passw|pwd|api.?key|access.?key|auth|credential|bearer|private|signing|client.?key")
 _PLAIN_NEAR = re.compile(r"(?i)commit|sha\d*|md5|checksum|hash|digest|uuid|guid|revision|etag|integrity|fingerprint|build|version|example|sample|placeholder|dummy|fake|isbn|serial|order|invoice")
 _PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|(.)\1{5,}|your|example|sample|dummy|changeme|placeholder|todo|1234567|abcdef|none|null|undefined|\$\{|%\(|<")
@@ -69,33 +86,29 @@ FEATURES = [
 
 def _covered(s: str) -> float:
     """Share of the characters that dictionary words cover, longest first."""
-    low, n, hit, i = s.lower(), len(s), 0, 0
-    while i < n:
-        for size in range(min(12, n - i), 2, -1):
-            if low[i : i + size] in _WORDS:
-                hit += size
-                i += size
-                break
-        else:
-            i += 1
-    return hit / max(1, n)
+    return sum(len(w) for w in _WORDS.findall(s.lower())) / max(1, len(s))
+
+
+def _class(c: str) -> int:
+    """0 digit, 1 capital, 2 small letter, 3 other."""
+    return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
 
 def features(secret: str, before: str, after: str, kind: int) -> list[float]:
-    """Numbers that the forest judges a candidate by; in the order of ``FEATURES``."""
-    s = secret[:4096]
-    n = len(s)
-    of = ["d" if c.isdigit() else "U" if c.isupper() else "l" if c.islower() else "o" for c in s]
-    share = Counter(of)
+    """Numbers that the forest judges a candidate by, from all of its characters; in the order of ``FEATURES``."""
+    s, n = secret, len(secret)
     counts = Counter(s)
+    of = {c: _class(c) for c in counts}
+    share = [sum(k for c, k in counts.items() if of[c] == which) / n for which in range(4)]
+    row = np.frombuffer(bytes(map(of.__getitem__, s)), np.uint8)
     near = before.rsplit("\n", 1)[-1][-32:]
     return [
-        float(len(secret)), -sum(c / n * math.log2(c / n) for c in counts.values()), share["d"] / n, share["U"] / n, share["l"] / n, share["o"] / n,
-        sum(a != b for a, b in zip(of, of[1:], strict=False)) / max(1, n - 1), sum(c in "aeiouAEIOU" for c in s) / n,
-        float(all(c in string.hexdigits for c in s)), float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", s))), _covered(s), float(kind < _FORMATS),
+        float(n), -sum(k / n * math.log2(k / n) for k in counts.values()), *share,
+        int(np.count_nonzero(row[1:] != row[:-1])) / max(1, n - 1), sum(counts[c] for c in "aeiouAEIOU") / n,
+        float(all(c in string.hexdigits for c in counts)), float(n == 36 and bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", s))), _covered(s), float(kind < _FORMATS),
         float(kind == _FORMATS), float(bool(_SECRET_NEAR.search(near))), float(bool(_PLAIN_NEAR.search(near))), float(bool(_PLACEHOLDER.search(s))),
         float(bool(re.search(r"[/\\]\S*$|://\S*$", before)) or "/" in after[:1] or s.count("/") >= 3), float(s.count(".") + s.count("_") + s.count("-")),
-        float(len(re.findall(r"[a-z][A-Z][a-z]", s))), float(before[-1:] in "\"'" and before != ""), float(max((len(x) for x in re.findall(r"[A-Za-z]+", s)), default=0)),
+        float(len(re.findall(r"[a-z][A-Z][a-z]", s))), float(before[-1:] in "\"'" and before != ""), float(max(map(len, re.findall(r"[A-Za-z]+", s)), default=0)),
     ]
 
 
@@ -104,9 +117,10 @@ def candidates(text: str) -> Iterator[tuple[int, int, int, list[float]]]:
     if not _HINT.search(text):
         return
     for m in _SCAN.finditer(text):
-        kind = next(i for i in range(len(KINDS)) if m.group(f"k{i}") is not None)
+        kind = int(m.lastgroup[1:])
         s, e = m.span("s") if kind == _FORMATS else m.span("s2") if kind == _FORMATS + 1 else m.span()
-        yield s, e, kind, features(text[s:e], text[max(0, s - 64) : s], text[e : e + 8], kind)
+        if kind <= _FORMATS or _MIXED.search(text, s, e):
+            yield s, e, kind, features(text[s:e], text[max(0, s - 64) : s], text[e : e + 8], kind)
 
 
 def labelled_findings(count: int = 3000, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +262,11 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5,
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, every finding in ``text_col`` replaced by ``[SECRET:kind]``."""
+    """All rows and columns of ``docs``, every finding in ``text_col`` replaced by ``[SECRET:kind]``.
+
+    Null and empty texts stay as they are, whole long texts are scanned, repeated rows are all kept, and an
+    empty table gives an empty table. Other columns, whatever their names, aren't changed. No shuffle.
+    """
     forest = forest or default_forest()
     names, at = docs.columns, docs.columns.index(text_col)
 

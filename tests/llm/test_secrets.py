@@ -1,7 +1,11 @@
+import math
+import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from pointframe.llm import queries as Q
 from pointframe.llm import secrets as S
@@ -38,3 +42,77 @@ def test_formats_and_false_positives(spark):
     assert clean[1].text == 'api_key = "[SECRET:assigned]"' and clean[2].text == rows[1][1] and clean[8].text is None and clean[1].kind == "k"
     assert S.scan(df.limit(0)).count() == 0 and S.redact(df.limit(0)).count() == 0
     assert S.scan(df.where("doc_id = 3").union(df.where("doc_id = 3"))).count() == 2
+
+
+def slow_features(secret, before, after, kind):
+    """Every feature by a plain loop over all characters."""
+    n = len(secret)
+    of = ["d" if c.isdigit() else "U" if c.isupper() else "l" if c.islower() else "o" for c in secret]
+    words = {w for w in S.DICTIONARY if len(w) >= 3}
+    covered, i = 0, 0
+    while i < n:
+        size = next((k for k in range(12, 2, -1) if secret[i : i + k].lower() in words and i + k <= n), 0)
+        covered, i = covered + size, i + max(1, size)
+    near = before.split("\n")[-1][-32:]
+    letters = "".join(c if c.isascii() and c.isalpha() else " " for c in secret).split()
+    return [
+        n, -sum(secret.count(c) / n * math.log2(secret.count(c) / n) for c in set(secret)), *(of.count(k) / n for k in "dUlo"), sum(of[i] != of[i + 1] for i in range(n - 1)) / max(1, n - 1),
+        sum(c in "aeiouAEIOU" for c in secret) / n, all(c in "0123456789abcdefABCDEF" for c in secret), bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", secret)), covered / n, kind < 7, kind == 7,
+        bool(S._SECRET_NEAR.search(near)), bool(S._PLAIN_NEAR.search(near)), bool(S._PLACEHOLDER.search(secret)), bool(re.search(r"[/\\]\S*$", before)) or "/" in after[:1] or secret.count("/") >= 3,
+        sum(c in "._-" for c in secret), sum(a.islower() and b.isupper() and c.islower() and (a + b + c).isascii() for a, b, c in zip(secret, secret[1:], secret[2:], strict=False)), before[-1:] in ('"', "'"), max(map(len, letters), default=0),
+    ]
+
+
+def slow_findings(text, forest, threshold):
+    """Patterns tried one by one at every place, candidates judged by walking each tree."""
+    patterns, at, out = [re.compile(p) for _, p in S.KINDS], 0, []
+    while at < len(text):
+        kind, m = next(((k, m) for k, p in enumerate(patterns) if (m := p.match(text, at))), (0, None))
+        if m is None:
+            at += 1
+            continue
+        s, e = m.span("s" if kind == 7 else "s2" if kind == 8 else 0)
+        at = m.end()
+        own = text[s:e]
+        changes = "".join("l" if "a" <= c <= "z" else "U" if "A" <= c <= "Z" else "o" for c in own)
+        if kind == 8 and not any(c in "0123456789" for c in own) and not re.search(r"(?:l[Uo]{0,8}?U.{0,16}?){3}", changes):
+            continue
+        x, votes = slow_features(own, text[max(0, s - 64) : s], text[e : e + 8], kind), 0.0
+        for feature, cut, left, share in zip(forest.feature, forest.cut, forest.left, forest.share, strict=True):
+            node = 0
+            while feature[node] >= 0:
+                node = left[node] + (x[feature[node]] > cut[node])
+            votes += share[node]
+        if votes / len(forest.feature) >= threshold:
+            out.append((s, e, kind, votes / len(forest.feature)))
+    return out
+
+
+def test_scan_equals_brute_force(sf):
+    rng = random.Random(2)
+    bits = [*(k for k in ("token", "passwd", "api-key", "Auth", "AKIA", "ghp_", "xoxb-", "AIza", "sk_live_", "eyJ", "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", " = ", ":=", "=>", '"', "'", "\n", "/", "-", "_", ".", " ", "commit ", "é")), *S.DICTIONARY[:20]]
+    texts = ["".join(rng.choice(bits) if rng.random() < 0.6 else "".join(rng.choice("abcXYZ0189+/_-") for _ in range(rng.randrange(1, 30))) for _ in range(rng.randrange(1, 40))) for _ in range(400)]
+    texts += [t for t in pd.read_parquet(f"{sf}/documents.parquet").text if "token" in t or "BEGIN" in t][:60]
+    forest, found = S.default_forest(), 0
+    for text in texts:
+        got, want = S._judged([text], forest, 0.5)[0], slow_findings(text, forest, 0.5)
+        assert [g[:3] for g in got] == [w[:3] for w in want], text
+        assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
+        found += len(got)
+    assert found > 60
+
+
+def test_whole_candidates_are_judged():
+    rng = random.Random(1)
+    key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60)) + "7" + "x" * 5000
+    (s, e, kind, x), = S.candidates(f"Bearer {key}")
+    assert (s, e, S.KINDS[kind][0]) == (7, 7 + len(key), "opaque") and x[0] == len(key) and x[2] == 1 / len(key)
+    assert S._judged([f"Bearer {key[:60]}"], S.default_forest(), 0.5)[0]  # no digit at all
+
+
+@pytest.mark.parametrize("unit", ["a-", "token", "token-", "eyJ-", "-----BEGIN PRIVATE KEY-----", "-----BEGIN A ", "token  ", "token= ", "1", "aA", "xoxb-", "ghp_", "a", "=", "_", "/", "x1/", "token'", "é1", "AKIA", "sk_live_", "-", "auth\n"])
+def test_a_million_characters_take_no_second(unit):
+    text = "key = '" + unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    list(S.candidates(text))
+    assert time.process_time() - began < 1.5
