@@ -40,9 +40,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in windows of 1,024 tokens."""
+    """Pieces of all documents, with their token ids, in windows of 1,024 tokens."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, path, public_tokenizers.PATTERN, capacity=1024, with_ids=False)
+    return packing.pack(docs, path, public_tokenizers.PATTERN, capacity=1024)
 
 
 STAGES = [
