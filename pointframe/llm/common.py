@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -14,14 +15,19 @@ from pyspark.sql import functions as F
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used where it is set; only a session that
-    names none (a test on one machine) gets a folder of its own.
+    The folder named by ``spark.checkpoint.dir`` is used where it is set. A session on one machine (master
+    ``local``) that names none gets a folder of its own; on a cluster that raises, since no executor sees
+    a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pointframe-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="pointframe-checkpoint-")
     sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -32,6 +38,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def salted_join(many: DataFrame, one: DataFrame, keys: list[str], counts: DataFrame | None = None, salts: int = 64, share: int = 2_000) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has at most one row for a key, where keys may be hot in ``many``.
+
+    Keys with at least one row in ``share`` are dealt out over ``salts`` tasks, and their rows of ``one`` repeated
+    for each. There are at most ``share`` of them, so their list is broadcast. ``many`` is read twice, or once where
+    ``counts(keys, count)`` are at hand, and should have its lineage cut. No key is null.
+    """
+    counts = counts if counts is not None else many.groupBy(*keys).count()
+    counts = counts.where("count >= 100")  # no other key can be hot enough to matter
+    total = many.count()
+    hot = cut(counts.where(F.col("count") >= total // share).select(*keys)).withColumn("is hot", F.lit(True))
+    if hot.isEmpty():
+        return many.join(one, keys)
+    marked = [df.join(F.broadcast(hot), keys, "left") for df in (many, one)]
+    spread = marked[0].withColumn("salt", F.when(F.col("is hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0)).drop("is hot")
+    copies = marked[1].withColumn("salt", F.explode(F.when(F.col("is hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("is hot")
+    return spread.join(copies, [*keys, "salt"]).drop("salt")
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Regroup sorted Arrow batches so that no group is cut: tables of whole groups and their starts (with the end).
 

@@ -3,15 +3,18 @@
 Mentions are found by pattern. A mention's canonical form (digits of a number, lower case of an
 address, single names of a person) is the entity that it refers to; every entity of the corpus gets
 one surrogate, drawn by a keyed SHA-256 from its kind, canonical form and an attempt number. A
-surrogate keeps length and character classes, script and, for first names, gender; a mention gets it
-in its own punctuation and case. Surrogates that meet another entity's surrogate, or any entity that
-occurs in the corpus, are drawn again until all are distinct, so equal stays equal and different
-stays different. That holds for first names too (each has its own within a gender, so persons who share
-a last name stay apart): from the second draw on they are composed of several listed names, one more
-with each draw, so the space doesn't run out. Without the key the replacement can't be repeated.
-
-Only rows with a mention are exchanged, by a hash of their text; a text or a mention that is a third
-of all rows is resolved once.
+surrogate keeps length and character classes, script and, for first names, gender; IBANs keep their
+country, cards their first digit, and both get valid check digits. A mention gets its surrogate in its
+own punctuation and case. Surrogates that meet another entity's surrogate, or any entity that occurs in
+the corpus, are drawn again until all are distinct, so equal stays equal and different stays different.
+That holds for first names too (each has its own within a gender, so persons who share a last name stay
+apart): from the second draw on they are composed of several listed names, one more with each draw.
+Where a shape is crowded (all two-letter last names occur), draws after the eighth grow longer by one
+character each, so the space never runs out. Without the key the replacement can't be repeated.
+
+Texts are scanned twice: once for rows with a mention, which are kept with their pieces, once for the
+others. Only rows with a mention are exchanged, by a hash of their text; a text or a mention that is a
+third of all rows is resolved once and dealt out over many tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, salted_join
 
 # kind and pattern, in order of precedence: fixed values
 PATTERNS = [
@@ -45,6 +48,7 @@ _UNION = "|".join(f"(?:{p})" for _, p in PATTERNS)
 # what every mention holds one of: cheap to look for, and most texts hold none
 _HINT = r"[@0-9]|\b(?:Mr|Herr|Monsieur|Señor|Господин|Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Señorita|Госпожа)\.? \p{Lu}"
 _NAMES = ("man", "woman")
+_GROW = 8  # draws before surrogates grow longer
 _CYRILLIC, _GREEK = "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
 
 
@@ -83,21 +87,50 @@ def _listed(names: list[str], stream: Column):
     return lambda i: F.element_at(F.array(*map(F.lit, names)), F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % len(names) + 1)
 
 
+def _mod97(chars: Column) -> Column:
+    """Remainder of a number written in digits and capitals (10 to 35) by 97."""
+    value = lambda c: F.conv(c, 36, 10).cast("int")
+    return F.aggregate(F.split(chars, ""), F.lit(0), lambda r, c: F.when(c == "", r).otherwise((r * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97))
+
+
+def _iban(entity: Column, grown: Column, stream: Column) -> Column:
+    """Country kept, account redrawn, check digits computed."""
+    country, account = F.substring(entity, 1, 2), _redrawn(F.concat(F.expr("substring(entity, 5)"), grown), stream)
+    return F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
+
+
+def _card(entity: Column, grown: Column, stream: Column) -> Column:
+    """First digit kept, the last one computed by the Luhn rule, the others redrawn."""
+    body = F.concat(F.substring(entity, 1, 1), _redrawn(F.concat(F.expr("substring(entity, 2, length(entity) - 2)"), grown), stream))
+    doubled = lambda d: F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+    digits = F.transform(F.split(F.reverse(body), ""), lambda c, i: F.when(i % 2 == 0, doubled(c.cast("int"))).otherwise(c.cast("int")))
+    return F.concat(body, ((10 - F.aggregate(digits, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10) % 10).cast("string"))
+
+
 def _surrogate(kind: Column, entity: Column, key: Column, attempt: Column) -> Column:
-    """Surrogate of a canonical entity under ``key``, which holds the attempt. First names: 1 + ``attempt`` listed names in one."""
-    stream = _stream(key, entity)
+    """Surrogate of a canonical entity (column ``entity``) under ``key``, which holds the attempt.
+
+    First names: 1 + ``attempt`` listed names in one. From attempt ``_GROW`` on all others are longer than the
+    entity: names, numbers and IBANs at their end, addresses at their start, and IPs are of version 6.
+    """
+    more = F.greatest(F.lit(0), attempt - _GROW + 1)
+    grown = lambda c: F.repeat(F.lit(c), more)
+    stream = _stream(key, F.concat(entity, grown("x")))
     pick = lambda at, n: F.conv(F.substring(stream, at, 4), 16, 10).cast("int") % n
     octets = F.concat_ws(".", *[(pick(1 + 4 * i, 254) + 1).cast("string") for i in range(4)])
-    at = F.instr(entity, "@")
+    octets = F.when(more == 0, octets).otherwise(F.concat(F.lit("2001:db8"), *[x for i in range(6) for x in (F.lit(":"), F.substring(stream, 1 + 4 * i, 4))]))
     tld = F.regexp_extract(entity, r"(\.\p{L}+)$", 1)
-    address = F.concat(_redrawn(F.expr("left(entity, length(entity) - length(regexp_extract(entity, '([.]\\\\p{L}+)$', 1)))"), stream), tld)
+    body = F.expr("left(entity, length(entity) - length(regexp_extract(entity, '([.]\\\\p{L}+)$', 1)))")
+    address = F.concat(_redrawn(F.concat(grown("x"), body), stream), tld)
     country = F.regexp_extract(entity, r"^(\+\d+ )", 1)
-    abroad = F.concat(country, _redrawn(F.regexp_replace(entity, r"^\+\d+ ", ""), stream))
-    out = F.when(kind == "ip", octets).when((kind == "email") & (at > 0), address).when(country != "", abroad)
+    abroad = F.concat(country, _redrawn(F.concat(F.regexp_replace(entity, r"^\+\d+ ", ""), grown("0")), stream))
+    out = F.when(kind == "ip", octets).when((kind == "email") & (F.instr(entity, "@") > 0), address).when(country != "", abroad)
+    out = out.when((kind == "iban") & entity.rlike("^[A-Z]{2}"), _iban(entity, grown("0"), stream)).when((kind == "card") & entity.rlike("^[0-9]+$"), _card(entity, grown("0"), stream))
     for (script, gender), names in FIRST_NAMES.items():
         of_script = entity.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~entity.rlike(r"\p{IsCyrillic}")
         out = out.when((kind == gender) & of_script, F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), F.least(attempt, F.lit(15))), _listed(names, stream)), "")))
-    return out.otherwise(_redrawn(entity, stream))
+    last = F.when(entity.rlike(r"\p{IsCyrillic}"), grown("я")).when(entity.rlike(r"\p{IsGreek}"), grown("ω")).otherwise(grown("x"))
+    return out.otherwise(_redrawn(F.concat(entity, F.when(entity.rlike("[0-9]$"), grown("0")).otherwise(last)), stream))
 
 
 def _parts(kind: str = "kind", mention: str = "mention") -> Column:
@@ -115,15 +148,15 @@ def _parts(kind: str = "kind", mention: str = "mention") -> Column:
     return F.when(k.isin(*_NAMES), person).when(k.isin("phone", "card", "ssn"), F.array(digits)).when(k == "iban", F.array(iban)).otherwise(F.array(plain))
 
 
-def entity_surrogates(entities: DataFrame, secret: str, max_attempts: int = 40) -> DataFrame:
+def entity_surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """One distinct ``surrogate`` for each distinct ``(kind, entity)``, never an entity that occurs itself.
 
-    Should the space of a kind be used up, which only crowded short numbers can do, this raises.
+    Each draw asks only those that clashed in the last one; longer draws make the space larger than any corpus.
     """
     known = cut(entities.select("kind", "entity").distinct())
     draw = lambda df: df.withColumn("surrogate", _surrogate(F.col("kind"), F.col("entity"), F.concat_ws("|", F.lit(secret), "kind", "entity", F.col("attempt").cast("string")), F.col("attempt")))
     table = cut(draw(known.withColumn("attempt", F.lit(0))))
-    for _ in range(max_attempts):
+    while True:
         keepers = table.groupBy("kind", "surrogate").agg(F.min("entity").alias("keeper"), F.count("*").alias("n"))
         crowded = table.join(keepers.where("n > 1"), ["kind", "surrogate"]).where("entity <> keeper").select("kind", "entity")
         real = table.join(known.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi").select("kind", "entity")
@@ -132,42 +165,50 @@ def entity_surrogates(entities: DataFrame, secret: str, max_attempts: int = 40)
             return table.select("kind", "entity", "surrogate")
         redrawn = draw(table.join(again, ["kind", "entity"], "left_semi").withColumn("attempt", F.col("attempt") + 1).drop("surrogate"))
         table = cut(table.join(again, ["kind", "entity"], "left_anti").unionByName(redrawn))
-    raise RuntimeError(f"surrogates are not distinct after {max_attempts} draws")
 
 
 def _in_the_form_of(mention: Column, kind: Column, found: Column) -> Column:
-    """Write surrogates in a mention's own punctuation, case and spacing."""
-    s = F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(found[0], "[^0-9]", "")).otherwise(found[0])
+    """Write surrogates in a mention's own punctuation, case and spacing; what a longer one has more stands at its end
+    (addresses: at its start)."""
+    number = kind.isin("phone", "card", "ssn")
+    s = F.when(number, F.regexp_replace(found[0], "[^0-9]", "")).otherwise(found[0])
     title = F.substring_index(mention, " ", 1)
     chars = F.split(mention, "")
-    digits = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(s, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c)), "")
-    iban = F.array_join(F.transform(chars, lambda c, i: F.when(c != " ", F.substring(s, F.length(F.replace(F.substring(mention, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1))).otherwise(c)), "")
-    cased = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substring(s, i + 1, F.lit(1)))).otherwise(F.substring(s, i + 1, F.lit(1)))), "")
+    placed = lambda own: F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(own), F.substring(s, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), f"[^{own[1:-1]}]", "")), F.lit(1))).otherwise(c)), "")
+    rest = lambda own: F.substring(s, F.length(F.regexp_replace(mention, f"[^{own[1:-1]}]", "")) + 1, F.length(s))
+    more = F.length(s) - F.length(mention)
+    cased = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substring(s, more + i + 1, F.lit(1)))).otherwise(F.substring(s, more + i + 1, F.lit(1)))), "")
     return (
-        F.when(kind.isin(*_NAMES), F.concat_ws(" ", title, F.array_join(found, " "))).when(kind.isin("phone", "card", "ssn"), digits).when(kind == "iban", iban).when(kind == "email", cased).otherwise(s)
-    )
+        F.when(kind.isin(*_NAMES), F.concat_ws(" ", title, F.array_join(found, " "))).when(number, F.concat(placed("[0-9]"), rest("[0-9]")))
+        .when(kind == "iban", F.concat(placed("[A-Z0-9]"), rest("[A-Z0-9]"))).when(kind == "email", F.concat(F.substring(s, F.lit(1), more), cased)).otherwise(s)
+    )
 
 
-def replace_private(docs: DataFrame, secret: str = "change this key", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replace_private(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, ``text`` with every mention replaced, ``n_entities`` (mentions
-    replaced) and ``kinds`` (their kinds in order).
+    replaced) and ``kinds`` (their kinds in order). ``secret`` is the key; an empty one raises ``ValueError``.
 
-    Null texts stay null with no mentions; texts without mentions are returned as they are. Repeated
-    rows give repeated rows. An empty table gives an empty table; other columns are not read.
+    Null texts stay null with no mentions; texts without mentions are returned as they are; very long texts
+    are scanned whole, in linear time. Repeated rows give repeated rows. An empty table gives an empty table;
+    other columns are not read.
     """
-    base = docs.select(F.col(id_col), F.col(text_col).alias("text")).withColumn("found", F.coalesce(mentions(F.col("text")), F.array().cast("array<string>")))
-    clean = base.where(F.size("found") == 0).select(id_col, "text", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
-    dirty = base.where(F.size("found") > 0).withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit("2"), "text"))
-    texts = cut(dirty.select("h1", "h2", F.array_distinct("found").alias("found")).dropDuplicates(["h1", "h2"]))
-    said = texts.select("h1", "h2", F.explode("found").alias("mention"))
+    if not secret:
+        raise ValueError("surrogates need a key that is kept secret")
+    base = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    holds = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(_UNION), F.lit(False))
+    clean = base.where(~holds).select(id_col, "text", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
+    # a text is kept as the pieces between its mentions and the mentions themselves
+    dirty = base.withColumn("found", F.coalesce(mentions(F.col("text")), F.array().cast("array<string>"))).where(F.size("found") > 0)
+    dirty = cut(dirty.select(id_col, "found", F.split("text", _UNION, -1).alias("rest"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("2"), "text").alias("h2")))
+    texts = cut(dirty.select("h1", "h2", F.array_distinct("found").alias("said")).dropDuplicates(["h1", "h2"]))
+    said = texts.select("h1", "h2", F.explode("said").alias("mention"))
     distinct = cut(said.select("mention").distinct().withColumn("kind", kind_of(F.col("mention"))))
     parts = distinct.select("mention", "kind", F.posexplode(_parts()).alias("at", "part")).select("mention", F.col("kind").alias("of"), "at", "part.kind", "part.entity")
     table = entity_surrogates(parts, secret)
-    resolved = parts.join(table, ["kind", "entity"]).groupBy("mention", "of").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x.surrogate).alias("found"))
-    written = cut(resolved.select("mention", F.struct(F.col("of").alias("kind"), _in_the_form_of(F.col("mention"), F.col("of"), F.col("found")).alias("surrogate")).alias("new")))
-    maps = said.join(written, "mention").groupBy("h1", "h2").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("new"))
-    rest = F.split("text", _UNION, -1)
-    joined = dirty.join(maps, ["h1", "h2"]).withColumn("rest", rest)
+    resolved = parts.join(table, ["kind", "entity"]).groupBy("mention", "of").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda x: x.surrogate).alias("names"))
+    written = cut(resolved.select("mention", F.struct(F.col("of").alias("kind"), _in_the_form_of(F.col("mention"), F.col("of"), F.col("names")).alias("surrogate")).alias("new")))
+    maps = salted_join(said, written, ["mention"]).groupBy("h1", "h2").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("new"))
+    joined = salted_join(dirty, maps, ["h1", "h2"])
     rewritten = F.array_join(F.zip_with("rest", F.transform("found", lambda m: F.col("new")[m].surrogate), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = joined.select(id_col, rewritten.alias("text"), F.size("found").alias("n_entities"), F.transform("found", lambda m: F.col("new")[m].kind).alias("kinds"))
     return clean.unionByName(changed)
