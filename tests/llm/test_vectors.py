@@ -100,7 +100,34 @@ def test_search_recall_and_scores(spark, sf):
 
 def test_ties_and_small_blocks(spark):
     rows = [(i, [1.0, 0.0, 0.0, 1.0]) for i in range(200)] + [(i, [0.0, float(i), 1.0, 1.0]) for i in range(200, 260)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = ann.search(df, df.where("vec_id in (0, 100)"), k=5, block=16).collect()
-    by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
-    assert by == {0: [1, 2, 3, 4, 5], 100: [0, 1, 2, 3, 4]}
+    for scale in (1.0, 1e-6, 1e5):
+        df = spark.createDataFrame([(i, [scale * x for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+        got = ann.search(df, df.where("vec_id in (0, 100)"), k=5, block=16).collect()
+        by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
+        want = {q: [i for _, i in brute_top(np.array([v for _, v in rows]), list(range(260)), [q], 5)[q]] for q in (0, 100)}
+        assert by == want
+    copies = spark.createDataFrame([(i, [1e5 * x for x in (0.3, -1.7, 0.11, 0.9, 2.2)]) for i in range(300)], "vec_id long, embedding array<double>")
+    got = ann.search(copies, copies.where("vec_id in (0, 100)"), k=5, block=7).collect()
+    assert {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)} == {0: [1, 2, 3, 4, 5], 100: [0, 1, 2, 3, 4]}
+
+
+def test_cells_join_rotations_as_rows_grow(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((60, 16)) * 4
+    x = np.concatenate([c + 0.4 * rng.standard_normal((40, 16)) for c in centres])
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    sample = df.limit(64).withColumnsRenamed({"vec_id": "id", "embedding": "v"}).toArrow()
+    unit = ann._Unit(float(np.linalg.norm(x, axis=1).max()), True)
+    base = df.withColumnsRenamed({"vec_id": "id", "embedding": "v"})
+    rotations, probes = ann._calibrated(base, sample, 10, 2, 2, 0.97, unit, 11)
+    assert rotations == 2 and probes < 64 * 64 / 4
+    got = ann.search(df, df.where("vec_id % 20 = 0"), k=10, cell_rows=8, block=100).toPandas()
+    want = brute_top(x, list(range(len(x))), range(0, len(x), 20), 10)
+    hit = sum(len(set(part.vec_id) & {i for _, i in want[q]}) for q, part in got.groupby("query_id"))
+    assert (got.groupby("query_id").size() == 10).all() and hit >= 0.93 * 10 * len(want)
+    u = unit(x[:50], True)
+    for r in (1, 2):
+        order = ann.probed(u, 1, r, 10**6, 11)
+        assert (np.sort(order, axis=1)[:, 1:] != np.sort(order, axis=1)[:, :-1]).all()
+        if r == 1:
+            assert (order[:, 0] == ann.cells_of(u, 1, 1, 11)).all() and order.shape[1] == 64
