@@ -42,13 +42,12 @@ def salted_join(many: DataFrame, one: DataFrame, keys: list[str], counts: DataFr
     """Inner join of ``many`` with ``one``, which has at most one row for a key, where keys may be hot in ``many``.
 
     Keys with at least one row in ``share`` are dealt out over ``salts`` tasks, and their rows of ``one`` repeated
-    for each. There are at most ``share`` of them, so their list is broadcast. ``many`` is read twice, or once where
-    ``counts(keys, count)`` are at hand, and should have its lineage cut. No key is null.
+    for each. There are at most ``share`` of them, so their list is broadcast. ``many``, whose lineage should be cut,
+    is counted first unless the ``counts(keys, count)`` of all its keys are at hand. No key is null.
     """
-    counts = counts if counts is not None else many.groupBy(*keys).count()
-    counts = counts.where("count >= 100")  # no other key can be hot enough to matter
-    total = many.count()
-    hot = cut(counts.where(F.col("count") >= total // share).select(*keys)).withColumn("is hot", F.lit(True))
+    total = many.count() if counts is None else counts.agg(F.sum("count")).first()[0] or 0
+    counts = many.groupBy(*keys).count() if counts is None else counts
+    hot = cut(counts.where(F.col("count") >= max(100, total // share)).select(*keys)).withColumn("is hot", F.lit(True))
     if hot.isEmpty():
         return many.join(one, keys)
     marked = [df.join(F.broadcast(hot), keys, "left") for df in (many, one)]

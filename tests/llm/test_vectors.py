@@ -48,16 +48,28 @@ def test_large_near_group_in_tiles(spark):
 
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
-    x = embedding_dedup.padded(rng.standard_normal((200, 100)))
+    x = embedding_dedup.padded(rng.standard_normal((200, 100)) + 0.7)
+    true, off = x @ x.T, ~np.eye(len(x), dtype=bool)
     err = []
     for seed in range(12):
-        t = x @ embedding_dedup.rotation(x.shape[1], seed)
-        f = np.abs(t).sum(1) / np.sqrt(x.shape[1])
-        e = embedding_dedup.estimate(embedding_dedup.sign_code(t), f, t, rng) - x @ x.T
-        off = ~np.eye(len(x), dtype=bool)
-        assert (abs(e) <= embedding_dedup.error_bound(f, x.shape[1], 5.0)[:, None])[off].mean() > 0.9999
+        code, f = embedding_dedup.level_code(x @ embedding_dedup.rotation(x.shape[1], seed))
+        c = embedding_dedup.unpacked(code)
+        assert ((c > 0) == (x @ embedding_dedup.rotation(x.shape[1], seed) > 0)).all() and code.shape[1] * 2 == x.shape[1]
+        e = embedding_dedup.estimate(c, f, c, f) - true
+        assert (abs(e) <= embedding_dedup.error_bound(f, f, x.shape[1], 5.0))[off].mean() > 0.9999
+        assert (abs(e) <= embedding_dedup.error_bound(f, f, x.shape[1], None)).all()
         err.append(e[off].mean())
-    assert abs(np.mean(err)) < 0.003
+    assert abs(np.mean(err)) < 0.002 and embedding_dedup.error_bound(f, f, x.shape[1], 5.0).max() < 0.1
+
+
+def test_exact_mode_loses_no_link(spark):
+    rng = np.random.default_rng(4)
+    c = rng.standard_normal((40, 24))
+    x = np.concatenate([c[i % 40] + 0.33 * rng.standard_normal((1, 24)) for i in range(900)])
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_duplicate_vectors(df, 0.9, tile=200, exact=True).toPandas().sort_values("vec_id")
+    g = brute_links(x, 0.9)
+    assert list(got.n_links) == list(g.sum(1)) and list(got.component) == list(brute_components(g, list(range(len(x)))))
 
 
 def test_unusable_vectors_copies_and_empty_table(spark):
