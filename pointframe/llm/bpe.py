@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spread
+
 _CACHE_WORDS = 400_000
 _BATCH_BYTES = 8 << 20
 
@@ -201,7 +203,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(rows)), pa.array(rows, pa.list_(pa.int32()))], [id_col, "ids"])
                     at, held, rows = at + len(rows), 0, []
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
+    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -238,4 +240,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 back.append(hashlib.sha256(b"".join([w[1] for w in words])).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -38,6 +38,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
+    """The rows of a small table dealt out over all cores; a larger one, which has splits for them, as it is.
+
+    A small file is often one row group, so that one task would do all the work on it. What is exchanged is at
+    most ``bytes_per_core`` a core, whatever the table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= bytes_per_core * cores else df
+
+
 def salted_join(many: DataFrame, one: DataFrame, keys: list[str], counts: DataFrame | None = None, salts: int = 64, share: int = 2_000) -> DataFrame:
     """Inner join of ``many`` with ``one``, which has at most one row for a key, where keys may be hot in ``many``.
 

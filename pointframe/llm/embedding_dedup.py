@@ -75,22 +75,20 @@ def unpacked(code: np.ndarray) -> np.ndarray:
 
 def estimate(a: np.ndarray, factor_a: np.ndarray, b: np.ndarray, factor_b: np.ndarray) -> np.ndarray:
     """Unbiased estimates of the cosines of coded vectors (rows of a) with coded vectors (rows of b); codes unpacked."""
-    return a @ b.T / (factor_a[:, None] * factor_b[None])
+    return (a / factor_a[:, None].astype(np.float32)) @ (b / factor_b[:, None].astype(np.float32)).T
 
 
-def error_bound(factor_a: np.ndarray, factor_b: np.ndarray, dim: int, epsilon: float | None) -> np.ndarray:
+def error_bound(f: np.ndarray, g: np.ndarray, dim: int, epsilon: float | None) -> np.ndarray:
     """How far estimates may lie from cosines, from the correction factors: ``epsilon`` standard errors, or always (None).
 
     A vector is its code's direction times the factor and a rest at right angles to the code, which a random
-    rotation turns anywhere; the rests of two vectors are independent.
+    rotation turns anywhere; the rests of two vectors are independent. The bound falls as the factors rise.
     """
-    a, b = (np.sqrt(np.maximum(1 - f**2, 0)) / f for f in (factor_a, factor_b))
+    r, s = (np.sqrt(np.maximum(1 - x**2, 0)) for x in (f, g))
     if epsilon is None:
-        # cos = f g <c, d> + f <c, r> + g <d, s> + <s, r>, each rest bounded by its length; an estimate is <c, d> / (f g)
-        f, g = factor_a[:, None], factor_b[None]
-        rest = f * np.sqrt(np.maximum(1 - g**2, 0)) + g * np.sqrt(np.maximum(1 - f**2, 0)) + np.sqrt(np.maximum(1 - f**2, 0)) * np.sqrt(np.maximum(1 - g**2, 0))
-        return rest + (1 / (f * g) - f * g)
-    return epsilon * np.sqrt(a[:, None] ** 2 + b[None] ** 2 + (a[:, None] * b[None]) ** 2) / math.sqrt(dim - 1) + 1e-6
+        # cos = f g <c, d> + f <c, s> + g <r, d> + <r, s>, each rest bounded by its length; an estimate is <c, d> / (f g)
+        return f * s + g * r + r * s + (1 / (f * g) - f * g) + 1e-6
+    return epsilon * np.sqrt((r / f) ** 2 + (s / g) ** 2 + (r / f * s / g) ** 2) / math.sqrt(dim - 1) + 1e-6
 
 
 def bands(rows: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -166,11 +164,14 @@ def link_counts(vectors: DataFrame, threshold: float, recall: float, epsilon: fl
                 codes = unpacked(np.frombuffer(b"".join(table.column("code").slice(s, e - s).to_pylist()), np.uint8).reshape(e - s, -1))
                 each = 64 // bits * (codes.shape[1] // 64) if bits else 1  # bands whose bits the code holds
                 keys = _band_keys(sign_code(codes), bits, 0, min(each, count, int(ts[s])))
+                low = factor[s:e].min()
+                least = threshold - error_bound(low, low, codes.shape[1], sure)  # no pair's own bound is wider
                 for p, q in ranges(i[s], j[s], part, s, e):
-                    hope = estimate(codes[p - s], factor[p], codes[q - s], factor[q]) + error_bound(factor[p], factor[q], codes.shape[1], sure) >= threshold
-                    a, b = np.nonzero(hope)
-                    a, b = p[a], q[b]
-                    a, b = a[a != b], b[a != b]
+                    hope = estimate(codes[p - s], factor[p], codes[q - s], factor[q])
+                    a, b = np.nonzero(hope >= least)
+                    hope, a, b = hope[a, b], p[a], q[b]
+                    own = (a != b) & (hope + error_bound(factor[a], factor[b], codes.shape[1], sure) >= threshold)
+                    a, b = a[own], b[own]
                     if keys.shape[1] and len(a):
                         new = np.concatenate([~(keys[a[k : k + 65536] - s] == keys[b[k : k + 65536] - s]).any(1) for k in range(0, len(a), 65536)])
                         a, b = a[new], b[new]

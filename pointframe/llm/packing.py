@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import spread
+
 
 def karmarkar_karp(sizes: list[int], k: int) -> list[list[int]]:
     """Partition items into at most k windows with near-equal sums: the item numbers of each."""
@@ -156,4 +158,4 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = 1024, en
         if rests:
             yield flush()
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, salted_join
+from .common import cut, salted_join, spread
 
 # kind and pattern, in order of precedence: fixed values
 PATTERNS = [
@@ -194,7 +194,7 @@ def replace_private(docs: DataFrame, secret: str, id_col: str = "doc_id", text_c
     """
     if not secret:
         raise ValueError("surrogates need a key that is kept secret")
-    base = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    base = spread(docs.select(F.col(id_col), F.col(text_col).alias("text")))
     holds = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(_UNION), F.lit(False))
     clean = base.where(~holds).select(id_col, "text", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
     # a text is kept as the pieces between its mentions and the mentions themselves

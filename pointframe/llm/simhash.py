@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, salted_join, spread
 from .components import connected_components, spanning_forest
 
 _CHUNK = 1 << 15
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42, id_col: str =
             fp = np.fromiter((fingerprint(t.as_py(), width, seed) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], [id_col, "fp"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(run, f"`{id_col}` {id_type.simpleString()}, fp long")
+    return spread(docs.select(F.col(id_col), F.col(text_col).cast("binary"))).mapInArrow(run, f"`{id_col}` {id_type.simpleString()}, fp long")
 
 
 def trie_links(values: np.ndarray, lo1: np.ndarray, hi1: np.ndarray, lo2: np.ndarray, hi2: np.ndarray, depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,11 +238,12 @@ def simhash_components(docs: DataFrame, max_bits: int = 2, width: int = 3, seed:
     rows give repeated rows. An empty table gives an empty table. Other columns are not read.
     """
     rows = cut(fingerprints(docs, width, seed, id_col, text_col))
-    distinct = cut(rows.groupBy("fp").agg(F.min(id_col).alias("first")))
-    named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
-    firsts = named.groupBy("root").agg(F.min("first").alias("component"))
-    by_fp = named.select("fp", "root").join(firsts, "root").select("fp", "component")
-    return rows.join(by_fp, "fp").select(id_col, "fp", "component")
+    distinct = cut(rows.groupBy("fp").agg(F.min(id_col).alias("first"), F.count("*").alias("count")))
+    nodes = connected_components(hamming_forest(distinct.select("fp"), max_bits, node_limit))
+    linked = cut(distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    firsts = linked.groupBy("root").agg(F.min("first").alias("component"), F.count("*").alias("count"))
+    by_fp = salted_join(linked.select("fp", "root"), firsts.drop("count"), ["root"], counts=firsts.select("root", "count")).select("fp", "component")
+    return salted_join(rows, by_fp, ["fp"], counts=distinct.select("fp", "count")).select(id_col, "fp", "component")
 
 
 def _row_hash(docs: DataFrame):

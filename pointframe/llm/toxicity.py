@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, spread
 
 # word lists of the grammar: fixed values
 INSULTS = """idiot moron stupid loser pathetic worthless scum trash clown disgusting imbecile dumbass bastard
@@ -190,7 +190,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int, id_col: st
     clean = clean.groupBy(id_col).agg(F.min(label_col).alias("y"), F.max(label_col).alias("y2")).where("y = y2").select(F.col(id_col).alias("labelled"), F.col("y").cast("int"))
     share = min(1.0, max_train / max(1, clean.count()))
     drawn = clean.where(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "labelled").select("text", "y")
+    return spread(docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("text"))).join(F.broadcast(drawn), "labelled").select("text", "y")
 
 
 def _g2(a: float, n: float, b: float, m: float) -> float:
@@ -281,7 +281,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
             s = pa.array([scorer.score(t.as_py()) for t in b.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, s], [*kept, "score"])
 
-    return docs.select(*kept).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return spread(docs.select(*kept)).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

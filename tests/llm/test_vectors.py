@@ -56,8 +56,8 @@ def test_estimates_are_unbiased_and_bounded():
         c = embedding_dedup.unpacked(code)
         assert ((c > 0) == (x @ embedding_dedup.rotation(x.shape[1], seed) > 0)).all() and code.shape[1] * 2 == x.shape[1]
         e = embedding_dedup.estimate(c, f, c, f) - true
-        assert (abs(e) <= embedding_dedup.error_bound(f, f, x.shape[1], 5.0))[off].mean() > 0.9999
-        assert (abs(e) <= embedding_dedup.error_bound(f, f, x.shape[1], None)).all()
+        assert (abs(e) <= embedding_dedup.error_bound(f[:, None], f[None], x.shape[1], 5.0))[off].mean() > 0.9999
+        assert (abs(e) <= embedding_dedup.error_bound(f[:, None], f[None], x.shape[1], None)).all()
         err.append(e[off].mean())
     assert abs(np.mean(err)) < 0.002 and embedding_dedup.error_bound(f, f, x.shape[1], 5.0).max() < 0.1
 
