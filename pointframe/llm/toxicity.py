@@ -1,12 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical transducer maps each word of a clause to a symbol (insult, threat, target, negation,
-reported speech, other) and, for insults, a weight. Four small transducers read the symbols: one
-remembers a negation for a few words, one a verb of speech for the rest of the clause, one a person
-spoken to or of; their composition is one table built in advance. The fourth reads the clause from
-its end and so couples an insult or threat with the target that follows it. Together they mark every
-insult of a clause as plain, aimed, negated or reported, and threats as aimed or not. A document is
-scored from the weights of its matched clauses; a word outside the grammar's patterns weighs nothing.
+A lexical transducer maps each word of a clause to a symbol (insult, threat, person spoken to, other person,
+negation, reported speech, other) and, for insults, a weight. Four transducers read the symbols of a clause and
+mark its insults and threats: one remembers a negation for a few words, one a verb of speech or a word about words
+("the word ...") for the rest of the clause, one the person spoken to and one other persons. Each of the first
+two reads forwards; the persons' run both ways, so a target counts on either side. What a direction composes is one
+table, built in advance. A fifth transducer reads the sequence of insults of the text and marks those that come in a run:
+another insult lies within ``_RUN`` clauses, or the clause itself occurs again.
+
+A clause matches where an insult is aimed at a person, stands in a run, or a threat meets the person
+spoken to; negated and reported ones match patterns of their own with little weight. A word that matches no
+pattern, an insult alone in its text included, weighs nothing. A document is scored from the weights of its
+matched clauses.
 
 The general word lists are fixed. Insult stems of the corpus at hand are learned from labelled
 documents: word beginnings and words that are much more frequent in documents labelled toxic. A hit
@@ -14,9 +19,9 @@ weighs the logarithm of its rates in the two classes, every word costs the diffe
 (so long clean texts don't add up chance hits), and repeated clauses count once. How much each mark
 counts is a logistic fit with the grammar's own weights as prior means.
 
-Learning reads a bounded sample of labelled rows (``max_train``, drawn by a hash of the id); only
-counts of stems and six numbers a sampled document reach the driver. Scoring is one pass without
-an exchange.
+Learning reads a bounded sample of labelled rows (``max_train``, drawn by a hash of the id) and keeps the
+``max_stems`` best stems; only counts of the best ``14 * max_stems`` of them and seven numbers a sampled document
+reach the driver. Scoring is one pass without an exchange.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,21 +45,24 @@ INSULTS = """idiot moron stupid loser pathetic worthless scum trash clown disgus
     dummkopf trottel abschaum versager arschloch imbécile connard débile salaud minable
     estúpido imbécil basura escoria perdedor""".split()
 THREATS = "kill hurt destroy beat burn töten vernichten schlagen tuer détruire frapper matar destruir golpear".split()
-TARGETS = "you your yourself u du dich dir ihr euch toi te vous ti usted ustedes he she they him her them".split()
+TARGETS = "you your yourself yourselves u du dich dir ihr euch euer toi te vous ton ti tú tu usted ustedes vosotros".split()
+PERSONS = "he she they him her them his their er sie ihn ihm il elle ils lui él ella ellos".split()
 NEGATIONS = "not no never isn't aren't don't nicht kein keine nie pas jamais ne nunca ni".split()
-REPORTS = "said says say called calls wrote reported claimed quoted sagte nannte dit appelé déclaré dijo llamó".split()
+REPORTS = """said says say called calls wrote reported claimed quoted sagte nannte dit appelé déclaré dijo llamó
+    word words term expression wort begriff mot terme expresión palabra término""".split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-PLAIN, AIMED, NEGATED, REPORTED = range(4)
+SYMBOLS = OTHER, INSULT, THREAT, TARGET, PERSON, NEGATION, REPORT = range(7)
+PLAIN, AIMED, RUN, NEGATED, REPORTED = range(5)
+_NEAR, _SHORT, _RUN = 6, 3, 60  # words that a person and a negation are remembered, clauses between the insults of a run
 
 _CLAUSE = re.compile(r"[.!?;\n]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _STEM_LENGTHS = range(3, 9)
 
 
-def _clauses(text: str | None) -> set[str]:
-    """Distinct clauses of a text, lower-cased."""
-    return {c.strip() for c in _CLAUSE.split((text or "").lower())}
+def _clauses(text: str | None) -> Counter:
+    """Distinct clauses of a text in their order, lower-cased, and how often each occurs."""
+    return Counter(c.strip() for c in _CLAUSE.split((text or "").lower()))
 
 
 def composed(a: dict, b: dict) -> dict:
@@ -63,7 +71,7 @@ def composed(a: dict, b: dict) -> dict:
     queue, seen = deque([start]), {start}
     while queue:
         p, q = state = queue.popleft()
-        for symbol in range(6):
+        for symbol in SYMBOLS:
             (p2, m), (q2, n) = a[p, symbol], b[q, symbol]
             table[state, symbol] = ((p2, q2), m | n)
             if (p2, q2) not in seen:
@@ -78,17 +86,16 @@ def _memory(symbol: int, mark: int, span: int | None, reads: tuple[int, ...] = (
     last = span or 1
     table = {}
     for left in range(last + 1):
-        for s in range(6):
+        for s in SYMBOLS:
             after = last if s == symbol else left if span is None else max(0, left - 1)
             table[str(left), s] = (str(after), frozenset({mark}) if left and s in reads else frozenset())
     return table
 
 
 def grammar() -> tuple[dict, dict]:
-    """The composed transducer (negation, reported speech, a target before the insult or threat) and the one that
-    reads a clause backwards (a target after it)."""
-    aimed = _memory(TARGET, AIMED, 6)
-    return composed(composed(_memory(NEGATION, NEGATED, 3), _memory(REPORT, REPORTED, None)), aimed), aimed
+    """The composed transducers: what marks forwards (negation, reported speech, persons) and backwards (persons)."""
+    persons = composed(_memory(TARGET, AIMED, _NEAR), _memory(PERSON, AIMED, _NEAR, (INSULT,)))
+    return composed(composed(_memory(NEGATION, NEGATED, _SHORT), _memory(REPORT, REPORTED, None)), persons), persons
 
 
 def _marks(table: dict, symbols: list[int]) -> list[frozenset]:
@@ -99,6 +106,13 @@ def _marks(table: dict, symbols: list[int]) -> list[frozenset]:
     return out
 
 
+def runs(places: list[int]) -> list[bool]:
+    """Whether each insult, by the number of its clause, has another within ``_RUN`` clauses: the run transducer, which
+    remembers the last insult's clause, read forwards and backwards."""
+    near = [b - a <= _RUN for a, b in zip(places, places[1:], strict=False)]
+    return [before or after for before, after in zip([False, *near], [*near, False], strict=True)] if places else []
+
+
 @dataclass
 class Model:
     """Insult weights by word and by stem, the cost of a word, and the weights of the marks."""
@@ -106,8 +120,8 @@ class Model:
     words: dict[str, float] = field(default_factory=lambda: dict.fromkeys(INSULTS, 6.0))
     stems: dict[str, float] = field(default_factory=dict)
     cost: float = 0.01
-    # bias; plain, aimed, negated and reported insults; aimed threats; words
-    weights: tuple[float, ...] = (-2.2, 1.0, 1.1, 0.3, 0.5, 2.0, 1.0)
+    # bias; insults aimed, in a run, negated and reported; aimed threats; words
+    weights: tuple[float, ...] = (-2.2, 1.1, 1.0, 0.05, 0.05, 6.0, 1.0)
 
 
 class Scorer:
@@ -115,7 +129,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, (self.table, self.backwards) = model, grammar()
-        self.fixed = {w: (s, 0.0) for s, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        self.fixed = {w: (s, 0.0) for s, ws in ((THREAT, THREATS), (PERSON, PERSONS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.fixed |= {w: (INSULT, v) for w, v in model.words.items()}
         self.known: dict[str, tuple[int, float]] = {}
 
@@ -135,10 +149,10 @@ class Scorer:
             self.known[word] = out
         return out
 
-    def features(self, text: str | None) -> list[float]:
-        """What the fit weighs: 1; summed weights by mark; aimed threats; minus the cost of the words. Sums end at 40."""
-        marks, threats, words = [0.0] * 4, 0.0, 0
-        for clause in _clauses(text):
+    def marked(self, text: str | None) -> tuple[list[tuple[int, int, float]], int, int]:
+        """Insults of a text as (clause, mark, weight), aimed threats and words; a clause counts once however often it occurs."""
+        insults, threats, words, again = [], 0, 0, set()
+        for at, (clause, times) in enumerate(_clauses(text).items()):
             found = _WORD.findall(clause)
             words += len(found)
             symbols = [self.symbol(w) for w in found]
@@ -146,12 +160,25 @@ class Scorer:
                 continue
             read = [s for s, _ in symbols]
             for (s, weight), before, after in zip(symbols, _marks(self.table, read), reversed(_marks(self.backwards, read[::-1])), strict=True):
-                marked = before | after
+                marks = before | after
                 if s == INSULT:
-                    marks[REPORTED if REPORTED in marked else NEGATED if NEGATED in marked else AIMED if AIMED in marked else PLAIN] += weight
-                elif s == THREAT and AIMED in marked and not marked & {NEGATED, REPORTED}:
+                    again |= {at} if times > 1 else set()
+                    insults.append((at, next((m for m in (REPORTED, NEGATED, AIMED) if m in marks), PLAIN), weight))
+                elif s == THREAT and AIMED in marks and not marks & {NEGATED, REPORTED}:
                     threats += 1
-        return [1.0, *(min(40.0, m) for m in marks), min(40.0, threats), max(-40.0, -self.model.cost * words)]
+        plain = [i for i, (_, mark, _) in enumerate(insults) if mark in (PLAIN, AIMED)]
+        for i, run in zip(plain, runs([insults[i][0] for i in plain]), strict=True):
+            if (run or insults[i][0] in again) and insults[i][1] == PLAIN:
+                insults[i] = (insults[i][0], RUN, insults[i][2])
+        return insults, threats, words
+
+    def features(self, text: str | None) -> list[float]:
+        """What the fit weighs: 1; summed weights by mark, plain ones left out; aimed threats; minus the cost of the words. Sums end at 40."""
+        insults, threats, words = self.marked(text)
+        sums = [0.0] * 5
+        for _, mark, weight in insults:
+            sums[mark] += weight
+        return [1.0, *(min(40.0, m) for m in sums[1:]), min(40.0, float(threats)), max(-40.0, -self.model.cost * words)]
 
     def score(self, text: str | None) -> float:
         z = sum(a * b for a, b in zip(self.model.weights, self.features(text), strict=True))
@@ -190,13 +217,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int, id_col: st
     clean = clean.groupBy(id_col).agg(F.min(label_col).alias("y"), F.max(label_col).alias("y2")).where("y = y2").select(F.col(id_col).alias("labelled"), F.col("y").cast("int"))
     share = min(1.0, max_train / max(1, clean.count()))
     drawn = clean.where(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return spread(docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("text"))).join(F.broadcast(drawn), "labelled").select("text", "y")
+    texts = spread(docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("text")))
+    # rows that repeat a drawn id are one row: that of the least text
+    return texts.join(F.broadcast(drawn), "labelled").groupBy("labelled", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
-def _g2(a: float, n: float, b: float, m: float) -> float:
+def _g2(a: Column, n: float, b: Column, m: float) -> Column:
     """Likelihood-ratio statistic of a hits among n against b among m."""
     p = (a + b) / (n + m)
-    term = lambda k, t, q: k * math.log(k / (t * q)) if k else 0.0
+    term = lambda k, t, q: F.when(k > 0, k * F.log(k / (t * q))).otherwise(0.0)
     return 2 * (term(a, n, p) + term(n - a, n, 1 - p) + term(b, m, p) + term(m - b, m, 1 - p))
 
 
@@ -216,13 +245,15 @@ def train(rows: DataFrame, max_stems: int = 300, least_g2: float = 34.0) -> Mode
     if total is None or not total.d0 or not total.d1:
         return Model()
     rate = F.col("d1") / total.d1 / ((F.col("d0") + 0.5) / total.d0)
-    best = counted.where((F.col("stem") != "") & (rate > 2)).orderBy(F.desc(F.col("d1") * F.log(rate)), "stem").limit(4000).collect()
-    ranked = sorted(((_g2(r.d1, total.d1, r.d0, total.d0), len(r.stem), r) for r in best), key=lambda x: (-x[0], -x[1], x[2].stem))
+    g2 = _g2(F.col("d1"), float(total.d1), F.col("d0"), float(total.d0))
+    best = counted.where((F.col("stem") != "") & (rate > 2)).withColumn("g2", g2).where(F.col("g2") >= least_g2)
+    # a word has up to seven stems, itself included, and most of them say the same
+    best = best.orderBy(F.desc("g2"), F.desc(F.length("stem")), "stem").limit(14 * max_stems).collect()
     model, spent = Model(), 0.0
     used: set[str] = set()
-    for g2, _, r in ranked:
+    for r in best:
         stem = r.stem.rstrip("$")
-        if g2 < least_g2 or len(used) >= max_stems:
+        if len(used) >= max_stems:
             break
         if any(stem.startswith(u.rstrip("$")) or (u.startswith(stem) and not r.stem.endswith("$")) for u in used):
             continue
@@ -269,7 +300,8 @@ def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 4.0)
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if score >= threshold) of every whole text added.
 
-    Null and empty texts have the score of no matched clause. Columns of these names are replaced.
+    Null and empty texts have the score of no matched clause; very long texts are read whole; repeated rows are
+    scored each; an empty table gives an empty table. Columns of these names are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     schema = T.StructType([*(T.StructField(c, docs.schema[c].dataType) for c in kept), T.StructField("score", T.DoubleType())])
