@@ -317,19 +317,17 @@ def json_contains_all(spark, sf):
     return _read(spark, sf, "part").where(J.json_contains_all(tags, F.to_json(F.array(F.lit("STANDARD"), "p_brand")))).select(F.col("p_partkey").alias("id"))
 
 
-#: A payload of each kind of value, and of none, from customers; the SQL reads the table's own columns.
-_CUSTOMER = F.to_json(
-    F.struct(
-        F.struct(F.col("c_mktsegment").alias("name"), F.when(F.col("c_custkey") % 4 == 0, F.col("c_acctbal")).alias("balance"), (F.col("c_acctbal") > 0).alias("solvent")).alias("segment"),
-        F.array("c_nationkey", F.col("c_custkey") % 7).alias("codes"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).alias("alias"),
-    )
-)
+def _customer_payload():
+    """A payload with each kind of value, and with missing ones, from a customer; the SQL reads the table's own columns."""
+    inner = F.struct(F.col("c_mktsegment").alias("name"), F.when(F.col("c_custkey") % 4 == 0, F.col("c_acctbal")).alias("balance"), (F.col("c_acctbal") > 0).alias("solvent"))
+    codes, alias = F.array("c_nationkey", F.col("c_custkey") % 7), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name"))
+    return F.to_json(F.struct(inner.alias("segment"), codes.alias("codes"), alias.alias("alias")))
 
 
 @query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS alias, CAST(NULL AS BIGINT) AS alias_int, c_mktsegment AS segment, CASE WHEN c_custkey % 4 = 0 THEN round(CAST(c_acctbal AS DOUBLE), 2) END AS balance, c_acctbal > 0 AS solvent,
     CAST(c_custkey % 7 AS BIGINT) AS second_code, '"' || c_mktsegment || '"' AS raw, 2 AS n_codes, CASE WHEN c_custkey % 3 = 0 THEN 'segment,codes,alias' ELSE 'segment,codes' END AS keys FROM customer WHERE c_custkey % 3 = 0 OR c_acctbal > 0""")
 def json_getters(spark, sf):
-    c = _read(spark, sf, "customer").withColumn("p", _CUSTOMER)
+    c = _read(spark, sf, "customer").withColumn("p", _customer_payload())
     solvent = J.json_get_bool("p", "segment", "solvent")
     return c.where(J.json_contains("p", "alias") | solvent).select(
         F.col("c_custkey").alias("id"), J.json_as_text("p", "alias").alias("alias"), J.json_get_int("p", "alias").alias("alias_int"), J.json_get_str("p", "segment", "name").alias("segment"),
@@ -526,7 +524,7 @@ def sql_match(spark, sf):
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 = 0")
 def sql_has_field(spark, sf):
-    c = _payloads(_read(spark, sf, "customer"), "c_custkey", _CUSTOMER, "people")
+    c = _payloads(_read(spark, sf, "customer"), "c_custkey", _customer_payload(), "people")
     return dialect.sql(spark, "SELECT id FROM people WHERE HAS_FIELD(payload, 'alias') = false AND payload->'segment' ? 'balance'", c)
 
 
