@@ -38,7 +38,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
+def spread(df: DataFrame, bytes_per_core: int = 2 << 20) -> DataFrame:
     """The rows of a small table dealt out over all cores; a larger one, which has splits for them, as it is.
 
     A small file is often one row group, so that one task would do all the work on it. What is exchanged is at
@@ -110,3 +110,9 @@ def usable(vector: str) -> Column:
     v = F.col(vector)
     ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & F.forall(v, ok) & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of whatever store its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -17,7 +17,7 @@ Only a spanning forest of the links leaves a task: components need no more.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,22 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
     if len(words) < width:
         return xxhash.xxh64_intdigest(b" ".join(words), seed)
     digest, n = xxhash.xxh64_intdigest, len(words) - width + 1
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, _CHUNK):
-        part = words[at : at + _CHUNK + width - 1]
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(width)), strict=False))
-        h = np.fromiter((digest(s, seed) for s in shingles), np.uint64)
+
+    def hashes() -> Iterator[np.ndarray]:
+        for at in range(0, n, _CHUNK):
+            part = words[at : at + _CHUNK + width - 1]
+            shingles = map(b" ".join, zip(*(part[i:] for i in range(width)), strict=False))
+            yield np.fromiter((digest(s, seed) for s in shingles), np.uint64)
+
+    return majority(hashes())
+
+
+def majority(hashes: Iterable[np.ndarray]) -> int:
+    """The number whose bits are those that more than half of the 64-bit hashes have."""
+    ones, n = np.zeros(64, np.int64), 0
+    for h in hashes:
         ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        n += len(h)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
@@ -246,37 +256,43 @@ def simhash_components(docs: DataFrame, max_bits: int = 2, width: int = 3, seed:
     return salted_join(rows, by_fp, ["fp"], counts=distinct.select("fp", "count")).select(id_col, "fp", "component")
 
 
-def _row_hash(docs: DataFrame):
+def _row_hashes(docs: DataFrame) -> list:
+    """Two hashes of all columns of a row, 128 bits together."""
     plain = {f.name: "map<" not in f.dataType.simpleString() for f in docs.schema.fields}  # Spark doesn't hash maps
-    return F.xxhash64(*(docs[c] if plain[c] else F.to_json(F.struct(docs[c])) for c in docs.columns))
+    columns = [docs[c] if plain[c] else F.to_json(F.struct(docs[c])) for c in docs.columns]
+    return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
 
 
 def named_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``who`` (smallest for the row to keep: lacks an id, id, hash of all columns) and ``text`` of every row."""
-    return docs.select(F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), _row_hash(docs).alias("h")).alias("who"), F.col(text_col).alias("text"))
+    """``who`` (smallest for the row to keep: lacks an id, id, hashes of all columns) and ``text`` of every row."""
+    h1, h2 = _row_hashes(docs)
+    return docs.select(F.struct(F.col(id_col).isNull().alias("lacks"), F.col(id_col).alias("id"), h1.alias("h1"), h2.alias("h2")).alias("who"), F.col(text_col).alias("text"))
 
 
-def only_named(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` that ``kept(who)`` names, each once."""
-    kept = kept.select(F.col("who.id").alias("kept_id"), F.col("who.h").alias("kept_hash"))
-    mark = "row hash" + "_" * max(map(len, docs.columns))  # longer than any column's name
-    marked = docs.withColumn(mark, _row_hash(docs))
-    found = marked.join(kept, (marked[mark] == kept["kept_hash"]) & marked[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
-    return found.dropDuplicates([mark]).drop(mark)
-
+def only_named(docs: DataFrame, all_rows: DataFrame, kept: DataFrame, local: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` that ``kept(who)`` names, each once; ``all_rows(who)`` names all of them, with repeats.
 
-def drop_near_copies(docs: DataFrame, max_bits: int = 2, width: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", node_limit: int = 20_000) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id (a row without an id only where no
-    row has one; of rows that share that id, the one with the smallest hash of its columns).
-
-    Rows that repeat in all columns are one row. All columns are kept. Texts cross one exchange,
-    after the decision; the walk itself moves fingerprints only.
+    What is to go is decided on names alone. Up to ``local`` names of such rows are broadcast and texts stay where
+    they are; more meet the rows by one exchange.
     """
-    with_hash = named_rows(docs, id_col, text_col)
-    rows = cut(fingerprints(with_hash, width, seed, "who", "text"))
-    distinct = cut(rows.groupBy("fp").agg(F.min("who").alias("who")))
-    named = distinct.join(link_fingerprints(distinct, max_bits, node_limit), "fp")
-    return only_named(docs, named.groupBy("root").agg(F.min("who").alias("who")), id_col)
+    hashes = lambda df: df.select(F.col("who.h1").alias("gone 1"), F.col("who.h2").alias("gone 2"))
+    kept = hashes(kept)
+    counted = hashes(all_rows).groupBy("gone 1", "gone 2").agg(F.count("*").alias("rows"))
+    stays = counted.join(kept, ["gone 1", "gone 2"], "left_semi")
+    gone = cut(counted.join(kept, ["gone 1", "gone 2"], "left_anti").select("gone 1", "gone 2"))
+    twice = cut(stays.where("rows > 1").select("gone 1", "gone 2"))
+    mark = "row hash" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    h1, h2 = _row_hashes(docs)
+    marked = docs.withColumns({mark + "1": h1, mark + "2": h2})
+    same = lambda names: (marked[mark + "1"] == names["gone 1"]) & (marked[mark + "2"] == names["gone 2"])
+    once = lambda df: df.dropDuplicates([mark + "1", mark + "2"])
+    if gone.count() + twice.count() <= local:
+        few = F.broadcast(twice)
+        rest = marked.join(F.broadcast(gone), same(gone), "left_anti").join(few, same(few), "left_anti")
+        found = rest.unionByName(once(marked.join(few, same(few), "left_semi")))
+    else:
+        found = once(marked.join(cut(kept), same(kept), "left_semi"))
+    return found.drop(mark + "1", mark + "2")
 
 
 def hex_fingerprint(fp: str = "fp"):

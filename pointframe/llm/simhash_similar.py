@@ -1,13 +1,15 @@
-"""Near copies by the Jaccard similarity of word shingles.
-
-MinHash proposes, the texts decide. Texts are made distinct by their words first. A text's 80 minima
-form 20 bands of four: two texts of similarity 0.8 miss each other in all bands once in 37,000 times.
-The lowest bytes of the minima go along as a sketch, so members of a band that are far from similar
-(five standard errors below the threshold) are not proposed. What is proposed is decided by the exact
-similarity of the two texts' shingle sets.
-
-A band of n alike texts has n * n / 2 pairs. Its task first proposes a spanning forest of the alike
-members; only where a link of that forest fails are the pairs proposed that components don't settle yet.
+"""SimHash near-dedup by similarity: the trie walk under a wide budget.
+
+Texts whose five-word shingles are alike to 0.8 differ in up to some twenty of 64 fingerprint bits. No block of
+bits is spared by so wide a budget, so fingerprints meet in MinHash bands instead of blocks: a text's 80 minima
+form 20 bands of four, and two texts of similarity 0.8 miss each other in all of them once in 37,000 times (a
+fingerprint differs in more than ``max_bits`` = 21 bits once in 8,000). In each band the binary trie self-join of
+``simhash`` proposes the pairs within the budget, and the exact similarity of the two texts decides.
+
+A band of n alike texts has n * n / 2 pairs. Its task proposes only a spanning forest of them; a band of more than
+``_STAR`` texts is not gathered at all, but each member is compared with one of them, its pivot. Where a link of a
+forest fails, and in every band with a pivot, the members that the links so far haven't settled are compared with
+all others of the band, in blocks of bounded size. Texts are made distinct by their words first.
 """
 
 from __future__ import annotations
@@ -20,14 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_groups
-from .components import connected_components
-from .simhash import named_rows, only_named
+from .common import cut, salted_join, spread, whole_groups
+from .components import connected_components, spanning_forest
+from .simhash import majority, named_rows, only_named, trie_links
 
 _BANDS, _ROWS = 20, 4
 _MINIMA = _BANDS * _ROWS
 _CHUNK = 1 << 11
 _LOCAL = 200_000
+_STAR = 1_000  # members of a band that one task joins
+_BLOCK = 20_000
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -50,9 +54,7 @@ def _key(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def _minima(words: list[bytes], width: int, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    own = shingles(words, width)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+def _minima(h: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     low = np.full(_MINIMA, np.iinfo(np.uint64).max)
     for at in range(0, len(h), _CHUNK):
         low = np.minimum(low, (h[at : at + _CHUNK, None] * factors + shifts).min(0))
@@ -60,71 +62,105 @@ def _minima(words: list[bytes], width: int, factors: np.ndarray, shifts: np.ndar
 
 
 def _sketches(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """``who``, ``key`` (of the words), ``bands`` and ``sketch`` of every row."""
+    """``who``, ``key`` (of the words), ``fp`` (fingerprint of the distinct shingles) and ``bands`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(seed)
         factors, shifts = (rng.integers(0, 1 << 64, _MINIMA, np.uint64) for _ in range(2))
         factors |= np.uint64(1)
         for b in batches:
-            keys, bands, sketch = [], [], []
-            for t in b.column(1):
+            keys, fps, bands = [], np.zeros(b.num_rows, np.uint64), []
+            for i, t in enumerate(b.column(1)):
                 words = _words(t.as_py())
-                low = _minima(words, width, factors, shifts)
+                own = shingles(words, width)
+                h = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+                low = _minima(h, factors, shifts)
                 keys.append(_key(words))
-                bands.append([xxhash.xxh3_64_intdigest(low[i * _ROWS : (i + 1) * _ROWS].tobytes(), i) - (1 << 63) for i in range(_BANDS)])
-                sketch.append((low >> np.uint64(32)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["who", "key", "bands", "sketch"])
+                fps[i] = majority([h])
+                bands.append([xxhash.xxh3_64_intdigest(low[k * _ROWS : (k + 1) * _ROWS].tobytes(), k) - (1 << 63) for k in range(_BANDS)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(fps.view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], ["who", "key", "fp", "bands"])
 
     who = rows.schema["who"].dataType.simpleString()
-    return rows.select("who", F.col("text").cast("binary")).mapInArrow(run, f"who {who}, key binary, bands array<long>, sketch binary")
-
-
-def _propose(least: int, every: bool):
-    """Arrow function: rows (h, key, sketch, root) sorted by h to pairs of alike keys of a band: a spanning forest, or every
-    pair of different roots."""
-
-    def pairs(sketch: np.ndarray, root: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        left = np.arange(1, len(sketch))
-        if every:
-            ids = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
-            for i in range(len(sketch) - 1):
-                rest = left[i:]
-                yield i, rest[(ids[rest] != ids[i]) & ((sketch[rest] == sketch[i]).sum(1) >= least)]
-            return
-        queue = [0]
-        while len(left):
-            if not queue:
-                queue, left = [int(left[0])], left[1:]
-            at = queue.pop()
-            near = (sketch[left] == sketch[at]).sum(1) >= least
-            yield at, left[near]
-            queue.extend(left[near].tolist())
-            left = left[~near]
+    return spread(rows.select("who", F.col("text").cast("binary"))).mapInArrow(run, f"who {who}, key binary, fp long, bands array<long>")
+
+
+def _forest(banded: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (h, key, fp) to (h, a, b): for each band the links of a spanning forest of its trie self-join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, 1):
+            h, fp = table.column(0).to_numpy(), table.column(2).to_numpy().view(np.uint64)
             out: tuple[list, list, list] = ([], [], [])
-            for s, e in zip(at[:-1], at[1:], strict=True):
-                if e - s < 2:
-                    continue
-                part = table.slice(s, e - s)
-                keys, root = part.column(1).to_pylist(), part.column(3).to_pylist()
-                sketch = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, _MINIMA)
-                h = part.column(0)[0].as_py()
-                for i, others in pairs(sketch, root):
-                    for j in others:
-                        a, b = sorted((keys[i], keys[j]))
-                        for column, x in zip(out, (h, a, b), strict=True):
-                            column.append(x)
+            for g in np.flatnonzero(np.diff(at) > 1):
+                s, e = at[g], at[g + 1]
+                values, back = np.unique(fp[s:e], return_inverse=True)
+                zero, all_ = np.zeros(1, np.int64), np.full(1, len(values))
+                a, b = trie_links(values, zero, all_, zero, all_, 0, max_bits)
+                first = np.zeros(len(values), np.int64)
+                first[back[::-1]] = np.arange(e - s)[::-1]  # texts of one fingerprint join its first
+                same = np.flatnonzero(first[back] != np.arange(e - s))
+                p, q = np.r_[first[a], first[back[same]]], np.r_[first[b], same]
+                tree = spanning_tree(p, q, e - s)
+                keys = table.column(1).slice(s, e - s).to_pylist()
+                for i in tree:
+                    x, y = sorted((keys[p[i]], keys[q[i]]))
+                    for column, v in zip(out, (h[s], x, y), strict=True):
+                        column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["h", "a", "b"])
 
-    return run
+    dealt = banded.select("h", "key", "fp").repartition("h").sortWithinPartitions("h", "key")
+    return dealt.mapInArrow(run, "h long, a binary, b binary")
+
+
+def spanning_tree(p: np.ndarray, q: np.ndarray, n: int) -> list[int]:
+    """Numbers of links that join what all of the links (p[i], q[i]) join, no more than n - 1."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
 
+    out = []
+    for i, (a, b) in enumerate(zip(p.tolist(), q.tolist(), strict=True)):
+        a, b = find(a), find(b)
+        if a != b:
+            root[b] = a
+            out.append(i)
+    return out
+
+
+def _unsettled(opened: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (h, key, fp, root) to all pairs (a, b) of a band within the budget whose roots differ.
+
+    One of two such members lies outside the band's main root, that of its least key: those are compared with all.
+    """
+    bands = cut(opened.groupBy("h").agg(F.min(F.struct("key", "root"))["root"].alias("main"), F.count("*").alias("count")))
+    marked = cut(salted_join(opened, bands.select("h", "main"), ["h"], counts=bands.select("h", "count")).withColumn("out", F.col("root") != F.col("main")))
+    sizes = marked.groupBy("h").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("ps"), F.ceil(F.count_if("out") / _BLOCK).cast("int").alias("qs"), F.count("*").alias("count")).where("qs > 0")
+    sizes = cut(sizes)
+    rows = salted_join(marked.join(sizes.select("h"), "h", "left_semi"), sizes.select("h", "ps", "qs"), ["h"], counts=sizes.select("h", "count"))
+    part = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sides = rows.withColumn("i", part("ps")).withColumn("j", each("qs")).withColumn("side", F.lit(0))
+    sides = sides.unionByName(rows.where("out").withColumn("j", part("qs")).withColumn("i", each("ps")).withColumn("side", F.lit(1)))
+    dealt = sides.select("h", "i", "j", "side", "fp", "key", "root").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, 3):
+            side, fp = table.column("side").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+            root = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
+            for s, e in zip(at[:-1], at[1:], strict=True):
+                m = s + int(np.count_nonzero(side[s:e] == 0))
+                for q in range(m, e, 64):
+                    who = np.arange(q, min(q + 64, e))
+                    a, b = np.nonzero((np.bitwise_count(fp[who][:, None] ^ fp[s:m][None]) <= max_bits) & (root[who][:, None] != root[s:m][None]))
+                    if len(a):
+                        x, y = (table.column("key").take(pa.array(z)).to_pylist() for z in (who[a], s + b))
+                        low, high = zip(*(sorted(z) for z in zip(x, y, strict=True)), strict=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(low, pa.binary()), pa.array(high, pa.binary())], ["a", "b"])
 
-def _proposed(banded: DataFrame, least: int, every: bool) -> DataFrame:
-    dealt = banded.select("h", "key", "sketch", "root").repartition("h").sortWithinPartitions("h")
-    return cut(dealt.mapInArrow(_propose(least, every), "h long, a binary, b binary"))
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _decided(pairs: DataFrame, rows: DataFrame, threshold: float, width: int) -> DataFrame:
@@ -141,33 +177,45 @@ def _decided(pairs: DataFrame, rows: DataFrame, threshold: float, width: int) ->
 
     need = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     need = F.broadcast(need) if need.count() <= _LOCAL else need
-    texts = rows.select(F.col("text").cast("binary")).mapInArrow(keyed, "key binary, text binary")
+    texts = spread(rows.select(F.col("text").cast("binary"))).mapInArrow(keyed, "key binary, text binary")
     texts = cut(texts.join(need, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
+    # links of a star all name its pivot
+    both = salted_join(pairs, texts.select(F.col("key").alias("a"), F.col("text").alias("x")), ["a"])
+    both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
     return cut(both.select("a", "b", "x", "y").mapInArrow(judge, "a binary, b binary, similar boolean"))
 
 
-def drop_near_copies(docs: DataFrame, threshold: float = 0.8, width: int = 5, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, threshold: float = 0.8, width: int = 5, max_bits: int = 21, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component of texts linked by a similarity of ``threshold`` or more: that of the
     smallest id (a row without an id only where no row has one; of rows that share that id, the one with the
     smallest hash of its columns).
 
     A-Z are lower-cased, words are runs of bytes other than ASCII white space. Null and empty texts are
-    alike. Rows that repeat in all columns are one row. All columns are kept.
+    alike. Very long texts are compared whole. Rows that repeat in all columns are one row. All columns are kept,
+    whatever their names. An empty table gives an empty table.
     """
     rows = named_rows(docs, id_col, text_col)
-    distinct = cut(_sketches(rows, width, seed).groupBy("key").agg(F.min("who").alias("who"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    least = int(_MINIMA * threshold - 5 * (_MINIMA * threshold * (1 - threshold)) ** 0.5)
-    banded = distinct.select("key", "sketch", F.explode("bands").alias("h"))
-    forest = _proposed(banded.withColumn("root", F.col("key")), least, every=False)
-    decided = _decided(forest.select("a", "b").distinct(), rows, threshold, width)
+    sketches = cut(_sketches(rows, width, seed))
+    distinct = cut(sketches.groupBy("key").agg(F.min("who").alias("who"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    banded = distinct.select("key", "fp", F.explode("bands").alias("h"))
+    stars = cut(banded.groupBy("h").agg(F.count("*").alias("count"), F.min(F.struct("key", "fp")).alias("pivot")).where(F.col("count") > _STAR))
+    if stars.isEmpty():
+        small, joined = banded, None
+    else:
+        small = banded.join(stars.select("h"), "h", "left_anti")
+        joined = salted_join(banded.join(stars.select("h"), "h", "left_semi"), stars.select("h", "pivot"), ["h"], counts=stars.select("h", "count"))
+        joined = joined.where((F.col("key") != F.col("pivot.key")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= max_bits)).select("h", F.col("pivot.key").alias("a"), F.col("key").alias("b"))
+    forest = _forest(small, max_bits)
+    forest = cut(forest if joined is None else forest.unionByName(joined))
+    decided = _decided(cut(forest.select("a", "b").distinct()), rows, threshold, width)
     links = decided.where("similar").select("a", "b")
-    failed = cut(forest.join(decided.where("not similar"), ["a", "b"], "left_semi").select("h").distinct())
+    failed = forest.join(decided.where("not similar"), ["a", "b"], "left_semi").select("h").unionByName(stars.select("h"))
+    failed = cut(failed.distinct())
     if not failed.isEmpty():
-        open_ = banded.join(failed, "h", "left_semi")
         roots = connected_components(links).withColumnRenamed("node", "key")
-        open_ = open_.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        more = _proposed(open_, least, every=True).select("a", "b").distinct().join(decided.select("a", "b"), ["a", "b"], "left_anti")
-        links = links.unionByName(_decided(cut(more), rows, threshold, width).where("similar").select("a", "b"))
+        opened = cut(banded.join(failed, "h", "left_semi").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")).select("h", "key", "fp", "root"))
+        more = cut(_unsettled(opened, max_bits).join(decided.select("a", "b"), ["a", "b"], "left_anti"))
+        links = links.unionByName(_decided(more, rows, threshold, width).where("similar").select("a", "b"))
     named = distinct.select("key", "who").join(connected_components(links).withColumnRenamed("node", "key"), "key", "left")
-    return only_named(docs, named.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("who").alias("who")), id_col)
+    kept = named.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("who").alias("who")).select("who")
+    return only_named(docs, sketches.select("who"), kept)

@@ -1,12 +1,13 @@
 import numpy as np
 import public_tokenizers as P
+import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
-from pointframe.llm import packing, secrets, simhash, toxicity
+from pointframe.llm import packing, secrets, simhash, simhash_similar, toxicity
 
 from .test_packing import check
-from .test_simhash import slow_components, slow_fingerprint
 
 
 def test_stages_against_brute_force(spark, sf):
@@ -18,8 +19,7 @@ def test_stages_against_brute_force(spark, sf):
     assert list(kept.columns) == C.COLUMNS and len(kept) < len(raw)
 
     once = C.drop_near_copies(spark, spark.createDataFrame(kept, docs.schema), sf).toPandas()
-    root = slow_components(list(kept.doc_id), [slow_fingerprint(t) for t in kept.text], 2)
-    assert sorted(once.doc_id) == sorted(set(root)) and list(once.columns) == C.COLUMNS
+    assert sorted(once.doc_id) == slow_near_copies(list(kept.doc_id), list(kept.text)) and list(once.columns) == C.COLUMNS
 
     safe = C.redact_secrets(spark, spark.createDataFrame(once, docs.schema), sf).toPandas().set_index("doc_id")
     forest = secrets.default_forest()
@@ -29,8 +29,8 @@ def test_stages_against_brute_force(spark, sf):
         assert safe.n_chars[r.doc_id] == len(safe.text[r.doc_id])
 
     pieces = C.run(spark, sf).toPandas()
-    enc = packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
-    ids = {i: [*enc.encode_ordinary(t), 0] for i, t in safe.text.items()}
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in safe.text.items()}
     assert set(pieces.doc_id) == set(safe.index)
     check(pieces, ids, 1024)
 
@@ -57,12 +57,14 @@ def test_registered_and_complete():
     assert "pipeline" in q and all(any(k.startswith(f"op{n}_") for k in q) for n in range(1, 11))
 
 
-def test_one_row_of_each_group(spark):
-    rng = np.random.default_rng(1)
-    base = [" ".join(f"w{x}" for x in rng.integers(0, 500, 80)) for _ in range(30)]
-    rows = [(i, base[i % 30], i) for i in range(600)]
-    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, kept_id long").selectExpr("*", "map('a', named_struct('b', 1)) as kept_hash").drop("x"))
-    assert sorted(r.doc_id for r in out.collect()) == list(range(30)) and out.columns == ["doc_id", "text", "kept_id", "kept_hash"]
+@pytest.mark.parametrize("local", [0, 10**6])
+def test_rows_are_named_and_kept_once(spark, local):
+    rows = [(i % 40, f"text {i % 80}", i % 40) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id long").selectExpr("*", "map('a', named_struct('b', 1)) as kept_hash")
+    names = simhash.named_rows(docs, "doc_id", "text").select("who")
+    kept = names.where("who.id < 30").distinct()
+    out = simhash.only_named(docs, names, kept, local)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted({r[:2] for r in rows if r[0] < 30}) and out.columns == ["doc_id", "text", "kept_id", "kept_hash"]
 
 
 def slow_near_copies(ids, texts):
@@ -91,3 +93,22 @@ def test_near_copies_by_five_word_shingles(spark, sf):
             rows.append((10**6 + 10 * r.doc_id + copy, " ".join(words), r.lang, r.source, r.n_chars))
     got = C.drop_near_copies(spark, spark.createDataFrame(rows, docs.schema), sf)
     assert sorted(r.doc_id for r in got.collect()) == slow_near_copies([r[0] for r in rows], [r[1] for r in rows])
+
+
+def test_large_bands_go_by_a_pivot_and_lose_no_link(spark, sf, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts, vocabulary = [], [f"w{i}" for i in range(4000)]
+    for size, change in ((150, 12), (90, 25), (60, 40)):  # groups of near copies, the last ones at and below the threshold
+        base = rng.choice(vocabulary, 260)
+        for _ in range(size):
+            words = base.copy()
+            at = rng.choice(260, int(rng.integers(0, change)) // 4, replace=False)
+            words[at] = rng.choice(vocabulary, len(at))
+            texts.append(" ".join(words))
+    texts += [" ".join(rng.choice(vocabulary, 80)) for _ in range(100)] + ["", None, "one two"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    want = slow_near_copies(list(range(len(texts))), [t or "" for t in texts])
+    monkeypatch.setattr(simhash_similar, "_BLOCK", 50)
+    for star in (20, 1000):
+        monkeypatch.setattr(simhash_similar, "_STAR", star)
+        assert sorted(r.doc_id for r in simhash_similar.drop_near_copies(docs).collect()) == want
