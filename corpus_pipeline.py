@@ -1,8 +1,9 @@
 """Corpus pipeline: toxicity, near-dedup, secret redaction, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. ``run`` writes
-each stage's rows as Parquet below the shared checkpoint folder and reads them again for the next.
-SQL can't express the stages (a learned grammar, MinHash bands, a forest, a tokenizer), so
+each stage's rows as Parquet below the shared checkpoint folder and reads them again for the next; what
+a stage has read is removed, the last stage's folder stays as the product.
+SQL can't express the stages (a learned grammar, a trie walk under MinHash bands, a forest, a tokenizer), so
 ``ORACLE_SQL`` is None and the stages are tested against brute-force versions.
 """
 
@@ -14,8 +15,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointframe.llm import near_copies, packing, secrets, toxicity
-from pointframe.llm.common import ensure_checkpoint_dir
+from pointframe.llm import packing, secrets, simhash_similar, toxicity
+from pointframe.llm.common import ensure_checkpoint_dir, remove
 from pointframe.workers import with_workers
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -30,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles alike to 0.8 or more): the one with the smallest id."""
-    return near_copies.drop_near_copies(docs.select(*COLUMNS))
+    return simhash_similar.drop_near_copies(docs.select(*COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if last:
+            remove(spark, last)
+        last = f"{folder}/{name}"
     return docs
