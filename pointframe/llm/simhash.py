@@ -30,6 +30,8 @@ from .components import connected_components, spanning_forest
 
 _CHUNK = 1 << 15
 _STEP = 7
+_BYTE = np.arange(8, dtype=np.int64) * 256
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 
 
 def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
@@ -56,10 +58,11 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
 
 def majority(hashes: Iterable[np.ndarray]) -> int:
     """The number whose bits are those that more than half of the 64-bit hashes have."""
-    ones, n = np.zeros(64, np.int64), 0
+    seen, n = np.zeros(8 * 256, np.int64), 0
     for h in hashes:
-        ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        seen += np.bincount((h.astype("<u8").view(np.uint8).reshape(-1, 8) + _BYTE).ravel(), minlength=8 * 256)
         n += len(h)
+    ones = (seen.reshape(8, 256) @ _BITS).ravel()  # from how often each byte stands at each place
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 

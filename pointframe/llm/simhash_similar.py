@@ -6,10 +6,11 @@ form 20 bands of four, and two texts of similarity 0.8 miss each other in all of
 fingerprint differs in more than ``max_bits`` = 21 bits once in 8,000). In each band the binary trie self-join of
 ``simhash`` proposes the pairs within the budget, and the exact similarity of the two texts decides.
 
-A band of n alike texts has n * n / 2 pairs. Its task proposes only a spanning forest of them; a band of more than
-``_STAR`` texts is not gathered at all, but each member is compared with one of them, its pivot. Where a link of a
-forest fails, and in every band with a pivot, the members that the links so far haven't settled are compared with
-all others of the band, in blocks of bounded size. Texts are made distinct by their words first.
+A band of n alike texts has n * n / 2 pairs. Its task proposes only a spanning forest of them, nearest fingerprints
+first; a band of more than ``_STAR`` texts is not gathered at all, but each member is compared with one of them, its
+pivot. Where a link of a forest fails, and in every band with a pivot, the members that the links so far haven't
+settled meet all others of the band with their shingles, in blocks of bounded size, which return no more than
+a forest of the exact links. Texts are made distinct by their words first.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, salted_join, spread, whole_groups
-from .components import connected_components, spanning_forest
+from .components import connected_components
 from .simhash import majority, named_rows, only_named, trie_links
 
 _BANDS, _ROWS = 20, 4
@@ -31,7 +32,7 @@ _MINIMA = _BANDS * _ROWS
 _CHUNK = 1 << 11
 _LOCAL = 200_000
 _STAR = 1_000  # members of a band that one task joins
-_BLOCK = 20_000
+_BLOCK, _BLOCK_SHINGLES = 1_500, 2_000_000  # texts and shingles of one side of a block
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -54,6 +55,12 @@ def _key(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def _hashes(words: list[bytes], width: int) -> np.ndarray:
+    """64-bit hashes of the distinct shingles."""
+    own = shingles(words, width)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+
+
 def _minima(h: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     low = np.full(_MINIMA, np.iinfo(np.uint64).max)
     for at in range(0, len(h), _CHUNK):
@@ -62,26 +69,25 @@ def _minima(h: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarra
 
 
 def _sketches(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """``who``, ``key`` (of the words), ``fp`` (fingerprint of the distinct shingles) and ``bands`` of every row."""
+    """``who``, ``key`` (of the words), ``fp`` (fingerprint of the distinct shingles), their number ``size`` and ``bands`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(seed)
         factors, shifts = (rng.integers(0, 1 << 64, _MINIMA, np.uint64) for _ in range(2))
         factors |= np.uint64(1)
         for b in batches:
-            keys, fps, bands = [], np.zeros(b.num_rows, np.uint64), []
+            keys, fps, sizes, bands = [], np.zeros(b.num_rows, np.uint64), np.zeros(b.num_rows, np.int64), []
             for i, t in enumerate(b.column(1)):
                 words = _words(t.as_py())
-                own = shingles(words, width)
-                h = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+                h = _hashes(words, width)
                 low = _minima(h, factors, shifts)
                 keys.append(_key(words))
-                fps[i] = majority([h])
+                fps[i], sizes[i] = majority([h]), len(h)
                 bands.append([xxhash.xxh3_64_intdigest(low[k * _ROWS : (k + 1) * _ROWS].tobytes(), k) - (1 << 63) for k in range(_BANDS)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(fps.view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], ["who", "key", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes), pa.array(bands, pa.list_(pa.int64()))], ["who", "key", "fp", "size", "bands"])
 
     who = rows.schema["who"].dataType.simpleString()
-    return spread(rows.select("who", F.col("text").cast("binary"))).mapInArrow(run, f"who {who}, key binary, fp long, bands array<long>")
+    return spread(rows.select("who", F.col("text").cast("binary"))).mapInArrow(run, f"who {who}, key binary, fp long, size long, bands array<long>")
 
 
 def _forest(banded: DataFrame, max_bits: int) -> DataFrame:
@@ -100,6 +106,9 @@ def _forest(banded: DataFrame, max_bits: int) -> DataFrame:
                 first[back[::-1]] = np.arange(e - s)[::-1]  # texts of one fingerprint join its first
                 same = np.flatnonzero(first[back] != np.arange(e - s))
                 p, q = np.r_[first[a], first[back[same]]], np.r_[first[b], same]
+                apart = np.bitwise_count(fp[s + p] ^ fp[s + q])
+                order = np.argsort(apart, kind="stable")  # the nearest are the likeliest to be similar
+                p, q = p[order], q[order]
                 tree = spanning_tree(p, q, e - s)
                 keys = table.column(1).slice(s, e - s).to_pylist()
                 for i in tree:
@@ -130,55 +139,93 @@ def spanning_tree(p: np.ndarray, q: np.ndarray, n: int) -> list[int]:
     return out
 
 
-def _unsettled(opened: DataFrame, max_bits: int) -> DataFrame:
-    """Rows (h, key, fp, root) to all pairs (a, b) of a band within the budget whose roots differ.
+def _unsettled(opened: DataFrame, rows: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Rows (h, key, size, root) to links (a, b) between members of a band whose roots differ, decided by their
+    shingles: for each block a forest.
 
-    One of two such members lies outside the band's main root, that of its least key: those are compared with all.
+    One of two such members lies outside the band's main root, that of its least key: those meet all.
     """
     bands = cut(opened.groupBy("h").agg(F.min(F.struct("key", "root"))["root"].alias("main"), F.count("*").alias("count")))
     marked = cut(salted_join(opened, bands.select("h", "main"), ["h"], counts=bands.select("h", "count")).withColumn("out", F.col("root") != F.col("main")))
-    sizes = marked.groupBy("h").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("ps"), F.ceil(F.count_if("out") / _BLOCK).cast("int").alias("qs"), F.count("*").alias("count")).where("qs > 0")
-    sizes = cut(sizes)
-    rows = salted_join(marked.join(sizes.select("h"), "h", "left_semi"), sizes.select("h", "ps", "qs"), ["h"], counts=sizes.select("h", "count"))
+    blocks = lambda which: F.greatest(F.ceil(F.count_if(which) / _BLOCK), F.ceil(F.sum(F.when(which, F.col("size"))) / _BLOCK_SHINGLES)).cast("int")
+    sizes = cut(marked.groupBy("h").agg(blocks(F.lit(True)).alias("ps"), blocks(F.col("out")).alias("qs"), F.count("*").alias("count")).where("qs > 0"))
+    dealt = salted_join(marked.join(sizes.select("h"), "h", "left_semi"), sizes.select("h", "ps", "qs"), ["h"], counts=sizes.select("h", "count"))
     part = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    sides = rows.withColumn("i", part("ps")).withColumn("j", each("qs")).withColumn("side", F.lit(0))
-    sides = sides.unionByName(rows.where("out").withColumn("j", part("qs")).withColumn("i", each("ps")).withColumn("side", F.lit(1)))
-    dealt = sides.select("h", "i", "j", "side", "fp", "key", "root").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "key")
+    sides = dealt.withColumn("i", part("ps")).withColumn("j", each("qs")).withColumn("side", F.lit(0))
+    sides = sides.unionByName(dealt.where("out").withColumn("j", part("qs")).withColumn("i", each("ps")).withColumn("side", F.lit(1)))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [_words(t.as_py()) for t in b.column(0)]
+            sets = pa.array([_hashes(w, width).view(np.int64) for w in words], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(_key, words)), pa.binary()), sets], ["key", "shingles"])
+
+    texts = _of_keys(marked.select("key"), rows).select("text").mapInArrow(hashed, "key binary, shingles array<long>")
+    sides = sides.select("h", "i", "j", "side", "key", "root").join(texts, "key").select("h", "i", "j", "side", "key", "root", "shingles")
+    sides = sides.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, 3):
-            side, fp = table.column("side").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
-            root = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
+            side = table.column("side").to_numpy()
             for s, e in zip(at[:-1], at[1:], strict=True):
-                m = s + int(np.count_nonzero(side[s:e] == 0))
-                for q in range(m, e, 64):
-                    who = np.arange(q, min(q + 64, e))
-                    a, b = np.nonzero((np.bitwise_count(fp[who][:, None] ^ fp[s:m][None]) <= max_bits) & (root[who][:, None] != root[s:m][None]))
-                    if len(a):
-                        x, y = (table.column("key").take(pa.array(z)).to_pylist() for z in (who[a], s + b))
-                        low, high = zip(*(sorted(z) for z in zip(x, y, strict=True)), strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(low, pa.binary()), pa.array(high, pa.binary())], ["a", "b"])
+                m = int(np.count_nonzero(side[s:e] == 0))
+                own = table.slice(s, e - s)
+                alike = alike_pairs(own.column("shingles").combine_chunks(), m, threshold)
+                root, keys = own.column("root").to_pylist(), own.column("key").to_pylist()
+                first = {k: i for i, k in reversed(list(enumerate(keys)))}  # a text stands on both sides
+                links = [(first[keys[p]], first[keys[q]]) for p, q in alike if root[p] != root[q]]
+                tree = spanning_tree(*np.array(links, np.int64).reshape(-1, 2).T, e - s)
+                pairs = [sorted((keys[links[i][0]], keys[links[i][1]])) for i in tree]
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"])
+
+    return sides.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float) -> Iterator[tuple[int, int]]:
+    """Pairs (p >= m, q < m) of sets of hashes whose Jaccard similarity reaches the threshold, by products of 0-1 matrices."""
+    sets = pa.concat_arrays(sets.chunks) if isinstance(sets, pa.ChunkedArray) else sets
+    size = sets.value_lengths().to_numpy().astype(np.int64)
+    names, code, count = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(size)), size)
+    shared = count[code] > 1  # others are in no intersection
+    code, of = np.cumsum(count > 1)[code[shared]] - 1, of[shared]
+    order = np.argsort(code, kind="stable")
+    code, of = code[order], of[order]
+    both = np.zeros((len(size) - m, m), np.float32)
+    width = int(count[count > 1].size)
+    for c in range(0, width, 2048):
+        lo, hi = np.searchsorted(code, (c, c + 2048))
+        block = np.zeros((len(size), 2048), np.float32)
+        block[of[lo:hi], code[lo:hi] - c] = 1
+        both += block[m:] @ block[:m].T
+    both = both.astype(np.float64)
+    p, q = np.nonzero(both / (size[m:, None] + size[None, :m] - both) >= threshold)
+    yield from zip((p + m).tolist(), q.tolist(), strict=True)
+
+
+def _of_keys(keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """``key`` and ``text`` of each of the keys."""
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_key(_words(t.as_py())) for t in b.column(0)], pa.binary()), b.column(0)], ["key", "text"])
+
+    need = cut(keys.distinct())
+    need = F.broadcast(need) if need.count() <= _LOCAL else need
+    texts = spread(rows.select(F.col("text").cast("binary"))).mapInArrow(keyed, "key binary, text binary")
+    return cut(texts.join(need, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
 
 
 def _decided(pairs: DataFrame, rows: DataFrame, threshold: float, width: int) -> DataFrame:
     """``pairs(a, b)`` with ``similar``, by the texts of ``rows``."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_key(_words(t.as_py())) for t in b.column(0)], pa.binary()), b.column(0)], ["key", "text"])
-
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             similar = [similarity(x.as_py(), y.as_py(), width) >= threshold for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(similar, pa.bool_())], ["a", "b", "similar"])
 
-    need = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    need = F.broadcast(need) if need.count() <= _LOCAL else need
-    texts = spread(rows.select(F.col("text").cast("binary"))).mapInArrow(keyed, "key binary, text binary")
-    texts = cut(texts.join(need, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
+    texts = _of_keys(pairs.select(F.explode(F.array("a", "b")).alias("key")), rows)
     # links of a star all name its pivot
     both = salted_join(pairs, texts.select(F.col("key").alias("a"), F.col("text").alias("x")), ["a"])
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
@@ -196,8 +243,8 @@ def drop_near_copies(docs: DataFrame, threshold: float = 0.8, width: int = 5, ma
     """
     rows = named_rows(docs, id_col, text_col)
     sketches = cut(_sketches(rows, width, seed))
-    distinct = cut(sketches.groupBy("key").agg(F.min("who").alias("who"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    banded = distinct.select("key", "fp", F.explode("bands").alias("h"))
+    distinct = cut(sketches.groupBy("key").agg(F.min("who").alias("who"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    banded = distinct.select("key", "fp", "size", F.explode("bands").alias("h"))
     stars = cut(banded.groupBy("h").agg(F.count("*").alias("count"), F.min(F.struct("key", "fp")).alias("pivot")).where(F.col("count") > _STAR))
     if stars.isEmpty():
         small, joined = banded, None
@@ -213,9 +260,8 @@ def drop_near_copies(docs: DataFrame, threshold: float = 0.8, width: int = 5, ma
     failed = cut(failed.distinct())
     if not failed.isEmpty():
         roots = connected_components(links).withColumnRenamed("node", "key")
-        opened = cut(banded.join(failed, "h", "left_semi").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")).select("h", "key", "fp", "root"))
-        more = cut(_unsettled(opened, max_bits).join(decided.select("a", "b"), ["a", "b"], "left_anti"))
-        links = links.unionByName(_decided(more, rows, threshold, width).where("similar").select("a", "b"))
+        opened = cut(banded.join(failed, "h", "left_semi").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")).select("h", "key", "size", "root"))
+        links = links.unionByName(cut(_unsettled(opened, rows, threshold, width)))
     named = distinct.select("key", "who").join(connected_components(links).withColumnRenamed("node", "key"), "key", "left")
     kept = named.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("who").alias("who")).select("who")
     return only_named(docs, sketches.select("who"), kept)
