@@ -3,8 +3,9 @@
 The words of a stretch of the corpus are made distinct and laid out as one long run of tokens. An
 inverted index maps each pair of neighbouring tokens to the positions where it stands; merges are
 then replayed in rank order over the whole run, and each touches only its own positions and their
-two neighbours; a merge with many positions takes them all at once. A word that occurs a million times is merged once. Where a merge brings up a pair
-of lower rank, that pair comes next in its word, exactly as in word-by-word encoding.
+two neighbours; a merge with many positions takes them all at once. A word that occurs a million times in a
+stretch is merged once. Where a merge brings up a pair of lower rank, that pair comes next in its word, exactly
+as in word-by-word encoding.
 
 Tasks need no exchange: each holds a bounded cache of words and merges the new words of a batch
 together, so a lost executor costs only its own splits.
@@ -17,6 +18,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -222,7 +224,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """Encode every whole text and decode the ids again; digests instead of the ids themselves.
 
     Returns ``id_col``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas) and
-    ``decoded_sha256`` (of the bytes that the ids stand for). Null and empty texts have no tokens.
+    ``decoded_sha256`` (of the bytes that a document's ids stand for). Null and empty texts have no tokens; whole
+    long texts are encoded (an unbroken word of n bytes takes some 24 n bytes of memory).
     Repeated rows give repeated rows; other columns are not read. One pass, no shuffle.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -230,14 +233,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = load(path, pattern)
         cache = replay.caches.setdefault("digests", {})
-        entry = lambda ids: (",".join(map(str, ids)), replay.decode(ids))
+        entry = lambda ids: (",".join(map(str, ids)), tuple(ids))
         for b in batches:
             n, ids, back = [], [], []
             for words in _encoded((t.as_py() or "" for t in b.column(1)), replay, cache, entry):
-                text = ",".join([w[0] for w in words])
-                n.append(text.count(",") + 1 if words else 0)
-                ids.append(hashlib.sha256(text.encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([w[1] for w in words])).hexdigest())
+                own = list(chain.from_iterable([w[1] for w in words]))
+                n.append(len(own))
+                ids.append(hashlib.sha256(",".join([w[0] for w in words]).encode()).hexdigest())
+                back.append(hashlib.sha256(replay.decode(own)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, salted_join
 
 # (verdict, host, path): fixed values
 RULES = [
@@ -129,20 +129,23 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ord
     A rule's verdict stands; elsewhere a URL is blocked if its ratio per character lies below the
     calibrated cut. ``score`` is null where a rule decides. Null URLs read as empty ones. Where the
     rules accept nothing or reject nothing there is no model: ratios are 0 and the verdict is 'allow'.
-    Repeated rows are all kept; an empty table gives an empty table; other columns are not read.
+    Whole URLs are read, however long. Repeated rows are all kept; an empty table gives an empty table; other
+    columns are not read.
     """
     host, path = host_and_path("url")
     base = pages.select(F.col(id_col), F.coalesce(F.col(url_col), F.lit("")).alias("url")).withColumn("host", host).withColumn("path", path)
     rule, verdict = matching_rule("host", "path", rules)
     base = base.withColumn("rule", rule).withColumn("verdict", verdict)
-    urls = cut(base.groupBy("url").agg(F.first("verdict").alias("verdict")))
+    urls = cut(base.groupBy("url").agg(F.first("verdict").alias("verdict"), F.count("*").alias("count")))
     labelled = urls.where("verdict is not null").select("url", (F.col("verdict") == "allow").alias("allow"), (F.pmod(F.xxhash64("url"), F.lit(3)) == 0).alias("held"))
     trained_on = labelled.where("not held").select("url", "allow")
     both = {r.allow for r in trained_on.groupBy("allow").count().collect()}
     model = train(trained_on if len(both) == 2 else trained_on.limit(0), order)
     held = labelled.where("held")
     edge = calibrate(ratio(held.select("url"), model, order).join(held, "url").select("score", "allow"))
-    open_ = ratio(urls.where("verdict is null").select("url"), model, order)
-    return base.join(open_, "url", "left").select(
-        id_col, "host", "path", "rule", F.coalesce("verdict", F.when(F.col("score") < edge, "block").otherwise("allow")).alias("verdict"), "score"
-    )
+    undecided = urls.where("verdict is null")
+    # a URL may be a third of all rows
+    scored = salted_join(base.where("verdict is null"), ratio(undecided.select("url"), model, order), ["url"], counts=undecided.select("url", "count"))
+    judged = F.when(F.col("score") < edge, "block").otherwise("allow")
+    names = [id_col, "host", "path", "rule", "verdict", "score"]
+    return base.where("verdict is not null").withColumn("score", F.lit(None).cast("double")).select(*names).unionByName(scored.withColumn("verdict", judged).select(*names))
