@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, salted_join, spread, whole_groups
-from .components import connected_components
+from .components import connected_components, spanning_forest
 from .simhash import majority, named_rows, only_named, trie_links
 
 _BANDS, _ROWS = 20, 4
@@ -32,7 +32,7 @@ _MINIMA = _BANDS * _ROWS
 _CHUNK = 1 << 11
 _LOCAL = 200_000
 _STAR = 1_000  # members of a band that one task joins
-_BLOCK, _BLOCK_SHINGLES = 1_500, 2_000_000  # texts and shingles of one side of a block
+_BLOCK, _BLOCK_SHINGLES = 1_000, 500_000  # texts and shingles of one side of a block
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -157,9 +157,15 @@ def _unsettled(opened: DataFrame, rows: DataFrame, threshold: float, width: int)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [_words(t.as_py()) for t in b.column(0)]
-            sets = pa.array([_hashes(w, width).view(np.int64) for w in words], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(map(_key, words)), pa.binary()), sets], ["key", "shingles"])
+            keys, sets, held = [], [], 0
+            for i, t in enumerate(b.column(0)):  # one text's words at a time
+                words = _words(t.as_py())
+                keys.append(_key(words))
+                sets.append(_hashes(words, width).view(np.int64))
+                held += len(sets[-1])
+                if held > _BLOCK_SHINGLES or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
+                    keys, sets, held = [], [], 0
 
     texts = _of_keys(marked.select("key"), rows).select("text").mapInArrow(hashed, "key binary, shingles array<long>")
     sides = sides.select("h", "i", "j", "side", "key", "root").join(texts, "key").select("h", "i", "j", "side", "key", "root", "shingles")
@@ -171,19 +177,22 @@ def _unsettled(opened: DataFrame, rows: DataFrame, threshold: float, width: int)
             for s, e in zip(at[:-1], at[1:], strict=True):
                 m = int(np.count_nonzero(side[s:e] == 0))
                 own = table.slice(s, e - s)
-                alike = alike_pairs(own.column("shingles").combine_chunks(), m, threshold)
-                root, keys = own.column("root").to_pylist(), own.column("key").to_pylist()
+                keys = own.column("key").to_pylist()
+                number = {r: i for i, r in enumerate(own.column("root").unique().to_pylist())}
+                root = np.array([number[r] for r in own.column("root").to_pylist()])
                 first = {k: i for i, k in reversed(list(enumerate(keys)))}  # a text stands on both sides
-                links = [(first[keys[p]], first[keys[q]]) for p, q in alike if root[p] != root[q]]
-                tree = spanning_tree(*np.array(links, np.int64).reshape(-1, 2).T, e - s)
-                pairs = [sorted((keys[links[i][0]], keys[links[i][1]])) for i in tree]
+                place = np.array([first[k] for k in keys])
+                p, q = alike_pairs(own.column("shingles").combine_chunks(), m, threshold)
+                apart = root[p] != root[q]
+                label = spanning_forest(place[p[apart]], place[q[apart]], e - s)
+                pairs = [sorted((keys[i], keys[label[i]])) for i in np.flatnonzero(label != np.arange(e - s))]
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"])
 
     return sides.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float) -> Iterator[tuple[int, int]]:
-    """Pairs (p >= m, q < m) of sets of hashes whose Jaccard similarity reaches the threshold, by products of 0-1 matrices."""
+def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (p[i] >= m, q[i] < m) of sets of hashes whose Jaccard similarity reaches the threshold, by products of 0-1 matrices."""
     sets = pa.concat_arrays(sets.chunks) if isinstance(sets, pa.ChunkedArray) else sets
     size = sets.value_lengths().to_numpy().astype(np.int64)
     names, code, count = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
@@ -194,14 +203,19 @@ def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float)
     code, of = code[order], of[order]
     both = np.zeros((len(size) - m, m), np.float32)
     width = int(count[count > 1].size)
-    for c in range(0, width, 2048):
-        lo, hi = np.searchsorted(code, (c, c + 2048))
-        block = np.zeros((len(size), 2048), np.float32)
+    for c in range(0, width, 1024):
+        lo, hi = np.searchsorted(code, (c, c + 1024))
+        block = np.zeros((len(size), 1024), np.float32)
         block[of[lo:hi], code[lo:hi] - c] = 1
         both += block[m:] @ block[:m].T
-    both = both.astype(np.float64)
-    p, q = np.nonzero(both / (size[m:, None] + size[None, :m] - both) >= threshold)
-    yield from zip((p + m).tolist(), q.tolist(), strict=True)
+    p, q = [], []
+    for c in range(0, len(both), 256):  # the quotients in double precision
+        some = both[c : c + 256].astype(np.float64)
+        i, j = np.nonzero(some / (size[m + c : m + c + 256, None] + size[None, :m] - some) >= threshold)
+        p.append(i + c)
+        q.append(j)
+    p, q = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (p, q))
+    return p + m, q
 
 
 def _of_keys(keys: DataFrame, rows: DataFrame) -> DataFrame:
