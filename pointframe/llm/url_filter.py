@@ -34,6 +34,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _ALPHABET = 96
 _HOT = 2_000
+_TASK = 100_000  # characters of a task, until there are as many tasks as shuffle partitions
 
 
 def host_and_path(url: str) -> tuple[Column, Column]:
@@ -56,10 +57,16 @@ def _normal(url: str, order: int) -> Column:
     return F.concat(F.lit("^" * order), F.lower(F.col(url)), F.lit("$"))
 
 
-def _positions(urls: DataFrame, order: int) -> DataFrame:
-    # a URL becomes some hundred rows: deal out by count, not by the few bytes that the URLs have
-    parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = urls.repartition(parts, "url").withColumn("s", _normal("url", order))
+def _characters(urls: DataFrame) -> int:
+    return urls.agg(F.sum(F.length("url") + 1)).first()[0] or 0
+
+
+def _positions(urls: DataFrame, order: int, characters: int) -> DataFrame:
+    # a URL becomes some hundred rows: deal out by characters, not by the few bytes that the URLs have, and into no
+    # more tasks than they need, since each sums its own keys before the exchange
+    spark = urls.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-characters // _TASK))
+    s = urls.repartition(max(parts, spark.sparkContext.defaultParallelism)).withColumn("s", _normal("url", order))
     return s.withColumn("i", F.explode(F.sequence(F.lit(order + 1), F.length("s"))))
 
 
@@ -69,7 +76,7 @@ def train(labelled: DataFrame, order: int, max_grams: int | None = None) -> Data
     All n-grams are kept, unless a caller gives ``max_grams``: then those rarer than one in ``max_grams`` characters
     of their class count as unseen."""
     grams = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"substring(s, i - {k}, {k + 1})").alias("gram")) for k in range(order + 1)])).alias("x")
-    counts = cut(_positions(labelled, order).select("allow", grams).groupBy("allow", "x.k", "x.gram").agg(F.count("*").alias("n")))
+    counts = cut(_positions(labelled, order, _characters(labelled)).select("allow", grams).groupBy("allow", "x.k", "x.gram").agg(F.count("*").alias("n")))
     if max_grams is not None:
         least = counts.where("k = 0").groupBy("allow").agg(F.ceil(F.sum("n") / max_grams).alias("least"))  # two rows
         counts = cut(counts.join(F.broadcast(least), "allow").where("n >= least").drop("least"))
@@ -96,8 +103,8 @@ def ratio(urls: DataFrame, model: DataFrame, order: int) -> DataFrame:
     """``url`` and ``score``, the log-likelihood ratio per character of distinct URLs."""
     keys = [F.expr(f"concat('g', substring(s, i - {k}, {k + 1}))") for k in range(order + 1)] + [F.expr(f"concat('c', substring(s, i - {k}, {k}))") for k in range(order + 1)]
     urls = cut(urls.select("url", F.monotonically_increasing_id().alias("at")))
-    asked = _positions(urls, order).select("at", F.explode(F.array(*keys)).alias("key"))
-    positions = urls.agg(F.sum(F.length("url") + 1)).first()[0] or 0
+    positions = _characters(urls)
+    asked = _positions(urls, order, positions).select("at", F.explode(F.array(*keys)).alias("key"))
     hot = cut(asked.groupBy("key").count().where(F.col("count") >= max(1, positions // _HOT)).select("key"))
     warm = cut(model.join(F.broadcast(hot), "key", "left_semi"))
     rest = asked.join(F.broadcast(hot), "key", "left_anti")
