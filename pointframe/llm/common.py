@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,27 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple
         yield kept, np.array([0, kept.num_rows])
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, which gives back what it has freed when it ends.
+
+    A Python worker lives on for the next stages, and its allocators would keep each stage's peak.
+    """
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return lean
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow's and the C library's allocator to the system, as far as they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def matrix(column: pa.ChunkedArray | pa.Array, dtype=np.float64) -> np.ndarray:
     """Rows of equal length without nulls as a matrix."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import spread
+from .common import spread, trimmed
 
 
 def karmarkar_karp(sizes: list[int], k: int) -> list[list[int]]:
@@ -158,4 +158,4 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = 1024, en
         if rests:
             yield flush()
 
-    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, schema)
+    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(trimmed(run), schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread
+from .common import spread, trimmed
 
 # kind and pattern; a group 's' or 's2' holds the secret: fixed values. Every repeat is bounded, possessive or begins
 # where its run of characters begins, so a scan takes linear time whatever the text.
@@ -260,7 +260,7 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5,
             types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *map(pa.array, cols, types)], [id_col, "start", "end", "kind", "secret", "score"])
 
-    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(run, f"`{id_col}` {id_type}, start long, end long, kind string, secret string, score double")
+    return spread(docs.select(F.col(id_col), F.col(text_col))).mapInArrow(trimmed(run), f"`{id_col}` {id_type}, start long, end long, kind string, secret string, score double")
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -284,4 +284,4 @@ def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return spread(docs).mapInArrow(run, docs.schema)
+    return spread(docs).mapInArrow(trimmed(run), docs.schema)

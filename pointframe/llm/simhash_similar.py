@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, salted_join, spread, whole_groups
+from .common import cut, salted_join, spread, trimmed, whole_groups
 from .components import connected_components, spanning_forest
 from .simhash import majority, named_rows, only_named, trie_links
 
@@ -33,6 +33,7 @@ _CHUNK = 1 << 11
 _LOCAL = 200_000
 _STAR = 1_000  # members of a band that one task joins
 _BLOCK, _BLOCK_SHINGLES = 1_000, 500_000  # texts and shingles of one side of a block
+_STRIPE = 64  # texts of a block whose pairs are held at once
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -87,7 +88,7 @@ def _sketches(rows: DataFrame, width: int, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes), pa.array(bands, pa.list_(pa.int64()))], ["who", "key", "fp", "size", "bands"])
 
     who = rows.schema["who"].dataType.simpleString()
-    return spread(rows.select("who", F.col("text").cast("binary"))).mapInArrow(run, f"who {who}, key binary, fp long, size long, bands array<long>")
+    return spread(rows.select("who", F.col("text").cast("binary"))).mapInArrow(trimmed(run), f"who {who}, key binary, fp long, size long, bands array<long>")
 
 
 def _forest(banded: DataFrame, max_bits: int) -> DataFrame:
@@ -118,7 +119,7 @@ def _forest(banded: DataFrame, max_bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["h", "a", "b"])
 
     dealt = banded.select("h", "key", "fp").repartition("h").sortWithinPartitions("h", "key")
-    return dealt.mapInArrow(run, "h long, a binary, b binary")
+    return dealt.mapInArrow(trimmed(run), "h long, a binary, b binary")
 
 
 def spanning_tree(p: np.ndarray, q: np.ndarray, n: int) -> list[int]:
@@ -131,11 +132,14 @@ def spanning_tree(p: np.ndarray, q: np.ndarray, n: int) -> list[int]:
         return x
 
     out = []
-    for i, (a, b) in enumerate(zip(p.tolist(), q.tolist(), strict=True)):
-        a, b = find(a), find(b)
-        if a != b:
-            root[b] = a
-            out.append(i)
+    for c in range(0, len(p), _CHUNK):
+        for i, (a, b) in enumerate(zip(p[c : c + _CHUNK].tolist(), q[c : c + _CHUNK].tolist(), strict=True), c):
+            a, b = find(a), find(b)
+            if a != b:
+                root[b] = a
+                out.append(i)
+        if len(out) == n - 1:
+            break
     return out
 
 
@@ -167,7 +171,7 @@ def _unsettled(opened: DataFrame, rows: DataFrame, threshold: float, width: int)
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
                     keys, sets, held = [], [], 0
 
-    texts = _of_keys(marked.select("key"), rows).select("text").mapInArrow(hashed, "key binary, shingles array<long>")
+    texts = _of_keys(marked.select("key"), rows).select("text").mapInArrow(trimmed(hashed), "key binary, shingles array<long>")
     sides = sides.select("h", "i", "j", "side", "key", "root").join(texts, "key").select("h", "i", "j", "side", "key", "root", "shingles")
     sides = sides.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "key")
 
@@ -182,40 +186,47 @@ def _unsettled(opened: DataFrame, rows: DataFrame, threshold: float, width: int)
                 root = np.array([number[r] for r in own.column("root").to_pylist()])
                 first = {k: i for i, k in reversed(list(enumerate(keys)))}  # a text stands on both sides
                 place = np.array([first[k] for k in keys])
-                p, q = alike_pairs(own.column("shingles").combine_chunks(), m, threshold)
-                apart = root[p] != root[q]
-                label = spanning_forest(place[p[apart]], place[q[apart]], e - s)
+                label = np.arange(e - s)
+                for p, q in alike_pairs(own.column("shingles").combine_chunks(), m, threshold):
+                    apart = root[p] != root[q]
+                    label = spanning_forest(np.r_[place[p[apart]], label], np.r_[place[q[apart]], np.arange(e - s)], e - s)
                 pairs = [sorted((keys[i], keys[label[i]])) for i in np.flatnonzero(label != np.arange(e - s))]
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"])
 
-    return sides.mapInArrow(run, "a binary, b binary").distinct()
+    return sides.mapInArrow(trimmed(run), "a binary, b binary").distinct()
 
 
-def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (p[i] >= m, q[i] < m) of sets of hashes whose Jaccard similarity reaches the threshold, by products of 0-1 matrices."""
+def alike_pairs(sets: pa.ListArray | pa.ChunkedArray, m: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (p[i] >= m, q[i] < m) of sets of hashes whose Jaccard similarity reaches the threshold, by products of 0-1 matrices.
+
+    They come in stripes of ``_STRIPE`` sets: of a group of alike texts, all pairs are never held at once.
+    """
     sets = pa.concat_arrays(sets.chunks) if isinstance(sets, pa.ChunkedArray) else sets
     size = sets.value_lengths().to_numpy().astype(np.int64)
-    names, code, count = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
-    of = np.repeat(np.arange(len(size)), size)
-    shared = count[code] > 1  # others are in no intersection
-    code, of = np.cumsum(count > 1)[code[shared]] - 1, of[shared]
-    order = np.argsort(code, kind="stable")
-    code, of = code[order], of[order]
+    code, of, width = _shared(sets.flatten().to_numpy(), size)
     both = np.zeros((len(size) - m, m), np.float32)
-    width = int(count[count > 1].size)
-    for c in range(0, width, 1024):
-        lo, hi = np.searchsorted(code, (c, c + 1024))
-        block = np.zeros((len(size), 1024), np.float32)
+    for c in range(0, width, 256):
+        lo, hi = np.searchsorted(code, (c, c + 256))
+        block = np.zeros((len(size), 256), np.float32)
         block[of[lo:hi], code[lo:hi] - c] = 1
         both += block[m:] @ block[:m].T
-    p, q = [], []
-    for c in range(0, len(both), 256):  # the quotients in double precision
-        some = both[c : c + 256].astype(np.float64)
-        i, j = np.nonzero(some / (size[m + c : m + c + 256, None] + size[None, :m] - some) >= threshold)
-        p.append(i + c)
-        q.append(j)
-    p, q = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (p, q))
-    return p + m, q
+    for c in range(0, len(both), _STRIPE):  # the quotients in double precision
+        some = both[c : c + _STRIPE].astype(np.float64)
+        i, j = np.nonzero(some / (size[m + c : m + c + _STRIPE, None] + size[None, :m] - some) >= threshold)
+        yield i + (m + c), j
+
+
+def _shared(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of sets of these sizes that occur more than once (others are in no intersection), in order: their number, their set; how many differ."""
+    names = np.sort(flat)
+    names = np.unique(names[1:][names[1:] == names[:-1]])
+    if not len(names):
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), 0
+    code = np.searchsorted(names, flat).astype(np.int32)
+    shared = names[np.minimum(code, len(names) - 1)] == flat
+    code, of = code[shared], np.repeat(np.arange(len(size), dtype=np.int32), size)[shared]
+    order = np.argsort(code, kind="stable")
+    return code[order], of[order], len(names)
 
 
 def _of_keys(keys: DataFrame, rows: DataFrame) -> DataFrame:
@@ -227,7 +238,7 @@ def _of_keys(keys: DataFrame, rows: DataFrame) -> DataFrame:
 
     need = cut(keys.distinct())
     need = F.broadcast(need) if need.count() <= _LOCAL else need
-    texts = spread(rows.select(F.col("text").cast("binary"))).mapInArrow(keyed, "key binary, text binary")
+    texts = spread(rows.select(F.col("text").cast("binary"))).mapInArrow(trimmed(keyed), "key binary, text binary")
     return cut(texts.join(need, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
 
 
@@ -243,7 +254,7 @@ def _decided(pairs: DataFrame, rows: DataFrame, threshold: float, width: int) ->
     # links of a star all name its pivot
     both = salted_join(pairs, texts.select(F.col("key").alias("a"), F.col("text").alias("x")), ["a"])
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
-    return cut(both.select("a", "b", "x", "y").mapInArrow(judge, "a binary, b binary, similar boolean"))
+    return cut(both.select("a", "b", "x", "y").mapInArrow(trimmed(judge), "a binary, b binary, similar boolean"))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, width: int = 5, max_bits: int = 21, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

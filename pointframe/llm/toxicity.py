@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, spread
+from .common import cut, spread, trimmed
 
 # word lists of the grammar: fixed values
 INSULTS = """idiot moron stupid loser pathetic worthless scum trash clown disgusting imbecile dumbass bastard
@@ -239,7 +239,7 @@ def train(rows: DataFrame, max_stems: int = 300, least_g2: float = 34.0) -> Mode
             cols = [pa.array(list(counts)), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in range(4))]
             yield pa.RecordBatch.from_arrays(cols, ["stem", "d0", "d1", "n0", "n1"])
 
-    counted = rows.mapInArrow(stems, "stem string, d0 long, d1 long, n0 long, n1 long").groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "n0", "n1")])
+    counted = rows.mapInArrow(trimmed(stems), "stem string, d0 long, d1 long, n0 long, n1 long").groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "n0", "n1")])
     counted = cut(counted.where("d1 >= 3 or stem = ''"))
     total = counted.where("stem = ''").first()
     if total is None or not total.d0 or not total.d1:
@@ -270,7 +270,7 @@ def train(rows: DataFrame, max_stems: int = 300, least_g2: float = 34.0) -> Mode
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([scorer.features(t.as_py()) for t in b.column(0)], pa.list_(pa.float64())), b.column(1)], ["x", "y"])
 
-    sample = rows.mapInArrow(measure, "x array<double>, y int").toArrow()
+    sample = rows.mapInArrow(trimmed(measure), "x array<double>, y int").toArrow()
     x = np.array(sample.column("x").to_pylist(), float).reshape(sample.num_rows, -1)
     model.weights = tuple(fit(x, sample.column("y").to_numpy().astype(float), np.array(Model().weights)))
     return model
@@ -313,7 +313,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
             s = pa.array([scorer.score(t.as_py()) for t in b.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, s], [*kept, "score"])
 
-    return spread(docs.select(*kept)).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return spread(docs.select(*kept)).mapInArrow(trimmed(run), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,11 +1,14 @@
+import tracemalloc
+
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
-from pointframe.llm import packing, secrets, simhash, simhash_similar, toxicity
+from pointframe.llm import common, packing, secrets, simhash, simhash_similar, toxicity
 
 from .test_packing import check
 
@@ -112,3 +115,41 @@ def test_large_bands_go_by_a_pivot_and_lose_no_link(spark, sf, monkeypatch):
     for star in (20, 1000):
         monkeypatch.setattr(simhash_similar, "_STAR", star)
         assert sorted(r.doc_id for r in simhash_similar.drop_near_copies(docs).collect()) == want
+
+
+def peak_mb(f):
+    tracemalloc.start()
+    out = f()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_a_block_of_alike_texts_is_compared_in_little_memory():
+    rng = np.random.default_rng(7)
+    rows = np.tile(rng.integers(-(2**62), 2**62, 120), (2000, 1))
+    rows[np.arange(2000), rng.integers(0, 120, 2000)] = rng.integers(-(2**62), 2**62, 2000)
+    sets = pa.array(list(rows), pa.list_(pa.int64()))
+    pairs, peak = peak_mb(lambda: sum(len(p) for p, _ in simhash_similar.alike_pairs(sets, 1000, 0.8)))
+    assert pairs == 1000 * 1000 and peak < 30
+    p, q = np.triu_indices(1000, 1)
+    tree, peak = peak_mb(lambda: simhash_similar.spanning_tree(p, q, 1000))
+    assert tree == list(range(999)) and peak < 20
+
+
+def test_pairs_of_a_block_against_sets():
+    rng = np.random.default_rng(8)
+    sets = [set(rng.integers(0, 12, int(n)).tolist()) for n in rng.integers(0, 14, 300)]
+    got = [(p, q) for ps, qs in simhash_similar.alike_pairs(pa.array(list(map(list, sets)), pa.list_(pa.int64())), 130, 0.5) for p, q in zip(ps, qs, strict=True)]
+    want = [(p, q) for p in range(130, 300) for q in range(130) if (sets[p] or sets[q]) and len(sets[p] & sets[q]) >= 0.5 * len(sets[p] | sets[q])]
+    assert got == want and got
+    for lone in ([[1], [2]], [[1, 2]], []):
+        assert not sum(len(p) for p, _ in simhash_similar.alike_pairs(pa.array(lone, pa.list_(pa.int64())), len(lone) // 2, 0.5))
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.trimmed(iter)([1, 2])) == [1, 2] and given == [1]
+    monkeypatch.undo()
+    common.give_back()
